@@ -67,7 +67,7 @@ def in_us_dst(d) -> Column:
 
 
 def time_hour(t) -> Column:
-    return F.try_cast(F.split(C(t), ":").getItem(0), "int")
+    return F.split(C(t), ":").getItem(0).try_cast("int")
 
 
 def time_minutes_text(t) -> Column:
