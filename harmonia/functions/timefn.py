@@ -71,7 +71,8 @@ def time_hour(t) -> Column:
 
 
 def time_minutes_text(t) -> Column:
-    return F.regexp_extract(C(t), r":(.*)$", 1)
+    """Text after the last colon (R ``sub('.*:', '', t)``)."""
+    return F.regexp_replace(C(t), r"^.*:", "")
 
 
 def shift_clock(date_col, time_col, from_tz: str) -> Column:

@@ -43,4 +43,4 @@ def load_all() -> dict[str, tuple[QueryFn, str | None]]:
     return QUERIES
 
 
-MODULES = ["q_combine", "q_project"]
+MODULES = ["q_combine", "q_project", "q_checks"]
