@@ -102,7 +102,12 @@ def local_to_fixed_offset(date_col, time_col, from_zone: str = "America/Los_Ange
     if from_zone.upper() == "UTC":
         shifted = F.from_utc_timestamp(ts, to_zone)
     else:
-        shifted = F.from_utc_timestamp(F.to_utc_timestamp(ts, from_zone), to_zone)
+        # A repeated (fall-back) wall time takes the later, standard-time
+        # offset, as lubridate does by default; Java would take the earlier.
+        u = F.to_utc_timestamp(ts, from_zone)
+        u2 = u + F.expr("INTERVAL 1 HOUR")
+        u = F.when(F.from_utc_timestamp(u2, from_zone) == ts, u2).otherwise(u)
+        shifted = F.from_utc_timestamp(u, to_zone)
     new_date = F.to_date(shifted)
     new_time = F.when(t.isNull(), None).otherwise(F.date_format(shifted, "HH:mm"))
     return new_date, new_time
