@@ -84,6 +84,8 @@ def with_fixtures(sql: str, *names: str) -> str:
     """Prefix an oracle query with the fixture CTEs it reads."""
     ctes = ",\n".join(f"{n} AS ({plain(FIXTURES[n])})" for n in names)
     body = sql.lstrip()
+    if body[:14].upper() == "WITH RECURSIVE":
+        return f"WITH RECURSIVE {ctes},\n{body[14:]}"
     if body[:4].upper() == "WITH":
         return f"WITH {ctes},\n{body[4:]}"
     return f"WITH {ctes}\n{body}"
