@@ -62,7 +62,8 @@ def tables_in(sql: str) -> list[str]:
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    from harmonia.sources.readers import read_table
+    return read_table(spark, os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def run_sql(spark: SparkSession, sf_dir: str, sql: str, **extra: DataFrame) -> DataFrame:
