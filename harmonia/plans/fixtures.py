@@ -18,7 +18,9 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 # Ordering columns that make a stable "first row" for lineitem-derived rows:
 # every derived column is a function of these, so rows tied on all of them
-# are identical.
+# are identical.  ``line_pos`` (row_number within the order by these
+# columns) is the compact form: the row's position in its sampling event,
+# as a file position would be.
 LI_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
             "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
@@ -50,7 +52,10 @@ SELECT l.l_orderkey AS Event,
        'S' || CAST(l.l_suppkey AS STRING) AS Station,
        CAST(l.l_shipdate AS DATE) AS Date,
        l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice,
-       l.l_discount, l.l_tax, l.l_returnflag, l.l_linestatus, l.l_shipdate
+       l.l_discount, l.l_tax, l.l_returnflag, l.l_linestatus, l.l_shipdate,
+       row_number() OVER (PARTITION BY l.l_orderkey
+                          ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice,
+                                   l.l_discount, l.l_tax, l.l_returnflag, l.l_linestatus, l.l_shipdate) AS line_pos
 FROM {lineitem} l JOIN {part} p ON l.l_partkey = p.p_partkey
 """
 

@@ -13,9 +13,10 @@ A1_MEASURES = ["Cells_per_mL", "Units_per_mL", "Biovolume_per_mL"]
 
 
 def a1_result(spark, sf_dir):
-    src = fixture(spark, sf_dir, "li_taxa")
-    return combine_taxa(src, key_cols=["Event"], measurement_cols=A1_MEASURES,
-                        order_cols=LI_ORDER)
+    # the key is the order, so the row's position within its order is a
+    # complete "first row" order for every key + taxon group
+    src = fixture(spark, sf_dir, "li_taxa").drop(*LI_ORDER).withColumnRenamed("line_pos", "_row_id")
+    return combine_taxa(src, key_cols=["Event"], measurement_cols=A1_MEASURES)
 
 
 def _rid(p=""):
