@@ -133,12 +133,17 @@ def flag_outliers(df: DataFrame, col: str, station_col: str = "Station", cutoff:
     code = f"Outlier{lab}"
     logv = F.when(F.col(col) > 0, F.log10(F.col(col)))
     tmp = df.withColumn("__log", logv)
-    med = exact_median(tmp, "__log")
+    # the median passes iterate on the driver: evaluate the upstream plan
+    # once and cut lineage (reliable checkpoint in the shared folder)
+    from harmonia.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    vals = tmp.select("__log").where(F.col("__log").isNotNull()).checkpoint()
+    med = exact_median(vals, "__log")
     if med is None:
         z = F.lit(None).cast("double")
         mad = None
     else:
-        dev = tmp.select(F.abs(F.col("__log") - F.lit(med)).alias("__dev"))
+        dev = vals.select(F.abs(F.col("__log") - F.lit(med)).alias("__dev"))
         mad_raw = exact_median(dev, "__dev")
         mad = MAD_CONST * mad_raw
         diff = F.col("__log") - F.lit(med)
