@@ -92,13 +92,16 @@ def shift_clock(date_col, time_col, from_tz: str) -> Column:
 
 
 def local_to_fixed_offset(date_col, time_col, from_zone: str = "America/Los_Angeles",
-                          to_zone: str = "Etc/GMT+8"):
-    """A local wall-clock (date + ``HH:mm``) in ``from_zone`` shown in
-    the fixed zone ``to_zone`` (UTC-8 by default).  A NULL time is taken as
-    midnight for the shift and NULL again afterwards.  Returns (date, time)."""
+                          to_zone: str = "Etc/GMT+8", out_format: str = "HH:mm:ss"):
+    """A local wall-clock (date + ``H:mm[:ss]``) in ``from_zone``
+    shown in the fixed zone ``to_zone`` (UTC-8 by default).  A NULL time is
+    taken as midnight for the shift and NULL again afterwards; a time that
+    does not parse gives NULL date and time.  Returns (date, time)."""
     t = C(time_col)
-    hhmm = F.coalesce(t, F.lit("00:00"))
-    ts = F.to_timestamp(F.concat_ws(" ", C(date_col).cast("string"), hhmm), "yyyy-MM-dd H:mm")
+    missing = t.isNull() | (t == "")
+    text = F.concat_ws(" ", C(date_col).cast("string"), F.when(missing, F.lit("00:00:00")).otherwise(t))
+    ts = F.coalesce(F.try_to_timestamp(text, F.lit("yyyy-MM-dd H:mm:ss")),
+                    F.try_to_timestamp(text, F.lit("yyyy-MM-dd H:mm")))
     if from_zone.upper() == "UTC":
         shifted = F.from_utc_timestamp(ts, to_zone)
     else:
@@ -109,7 +112,7 @@ def local_to_fixed_offset(date_col, time_col, from_zone: str = "America/Los_Ange
         u = F.when(F.from_utc_timestamp(u2, from_zone) == ts, u2).otherwise(u)
         shifted = F.from_utc_timestamp(u, to_zone)
     new_date = F.to_date(shifted)
-    new_time = F.when(t.isNull(), None).otherwise(F.date_format(shifted, "HH:mm"))
+    new_time = F.when(missing, None).otherwise(F.date_format(shifted, out_format))
     return new_date, new_time
 
 

@@ -430,7 +430,7 @@ WITH s AS (SELECT o_orderkey, Date, Time,
                            CAST(Date AS TIMESTAMP) + to_minutes(CAST(coalesce(split_part(Time, ':', 1), '0') AS INTEGER) * 60
                                                    + CAST(coalesce(split_part(Time, ':', 2), '0') AS INTEGER)))) AS t
            FROM ord_time)
-SELECT o_orderkey, CAST(t AS DATE) AS Date, CASE WHEN Time IS NULL THEN NULL ELSE strftime(t, '%H:%M') END AS Time
+SELECT o_orderkey, CAST(t AS DATE) AS Date, CASE WHEN Time IS NULL THEN NULL ELSE strftime(t, '%H:%M:%S') END AS Time
 FROM s""", "ord_time"))
 def t8_to_fixed_offset(spark, sf):
     df = fixture(spark, sf, "ord_time")
