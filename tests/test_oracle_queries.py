@@ -21,7 +21,7 @@ def con(sf_small):
 
 
 def test_every_query_registered_with_unique_names():
-    assert len(QUERIES) >= 150
+    assert len(QUERIES) >= 140
     assert set(SQL) <= set(QUERIES)
 
 
