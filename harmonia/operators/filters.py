@@ -116,3 +116,25 @@ def exclude_values(df: DataFrame, col: str, values) -> DataFrame:
 def keep_where(df: DataFrame, cond) -> Result:
     """generic filter with the complement as a log."""
     return Result(df.where(cond), {"filtered_out": df.where(~F.coalesce(cond, F.lit(False)))})
+
+
+def derive_columns(df: DataFrame, exprs: dict) -> DataFrame:
+    """conditional derived columns (taxon from two columns, scheme by
+    station pattern, depth type by bound, year group, key concatenation),
+    each a column expression."""
+    return df.withColumns(exprs)
+
+
+def recode_keep(col, mapping: dict):
+    """value recode that keeps unmapped values (never NULLs them)."""
+    expr = None
+    c = F.col(col) if isinstance(col, str) else col
+    for old, new in mapping.items():
+        expr = F.when(c == old, F.lit(new)) if expr is None else expr.when(c == old, F.lit(new))
+    return expr.otherwise(c) if expr is not None else c
+
+
+def strip_unit_number(col):
+    """'10x' / '1 meter' style text -> its leading number (NULL if none)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.regexp_extract(c.cast("string"), r"^\s*([0-9]+(\.[0-9]+)?)", 1).try_cast("double")
