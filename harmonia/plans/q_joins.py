@@ -16,9 +16,9 @@ from harmonia.plans.fixtures import FIXTURES, fixture, load, with_fixtures
 # Survey metadata ranges (a small configuration table): overlapping ranges,
 # a gap, an open end, a NULL (wildcard) match column, a range outside the data.
 META_ROWS = [
-    (1, "1994-06-01", "1996-12-31", "BSA", "Net", None),
-    (2, "1996-06-01", "1998-03-31", "EcoAnalysts", "Grab", "F"),
-    (3, "1998-06-01", "1999-12-31", "BSA2", "Pump", None),
+    (1, "1994-06-01", "1996-12-31", "LabA", "Net", None),
+    (2, "1996-06-01", "1998-03-31", "LabB", "Grab", "F"),
+    (3, "1998-06-01", "1999-12-31", "LabC", "Pump", None),
     (4, "1999-06-01", None, "Lab4", "Net", "O"),
     (5, "2003-01-01", "2004-01-01", "Future", "X", None),
 ]
@@ -333,7 +333,7 @@ def j14_point_in_polygon(spark, sf):
 # ---------------------------------------------------------------- W1, G1, G2, S6, W3, T8
 
 FIXTURES["ev_event"] = """
-SELECT event_id AS ev_id, 'DWR-' || upper(event_type) AS Survey, 'U' || CAST(user_id AS STRING) AS Station,
+SELECT event_id AS ev_id, 'REG-' || upper(event_type) AS Survey, 'U' || CAST(user_id AS STRING) AS Station,
        CAST(ts AS DATE) AS Date,
        CASE WHEN value < 30 THEN NULL
             ELSE lpad(CAST(hour(ts) % 3 + 8 AS STRING), 2, '0') || ':' || CASE WHEN value < 250 THEN '00' ELSE '30' END

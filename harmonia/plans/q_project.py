@@ -41,7 +41,7 @@ FROM {lineitem} l JOIN {part} p ON l.l_partkey = p.p_partkey
 
 FIXTURES["li_bsa"] = """
 SELECT l.l_orderkey AS Event, l.l_linenumber AS Line, p.p_brand AS Taxon,
-       CASE l.l_returnflag WHEN 'A' THEN 'BSA' WHEN 'R' THEN 'EcoAnalysts' ELSE 'Other' END AS Lab,
+       CASE l.l_returnflag WHEN 'A' THEN 'LabA' WHEN 'R' THEN 'LabB' ELSE 'Other' END AS Lab,
        1 + l.l_tax * 10 AS Factor, l.l_quantity AS unit, l.l_quantity * l.l_linenumber AS cells,
        CAST(p.p_size AS DOUBLE) / 4 AS cells_per_unit,
        CASE WHEN l.l_discount > 0.05 THEN l.l_extendedprice / 1000 END AS Biovolume_1,
@@ -134,12 +134,12 @@ def p10_cast_all_but(spark, sf):
 
 
 @query("p11_lower_relocate_constants", """
-SELECT 'EMP' AS survey, c_custkey, c_name, c_nationkey, c_mktsegment FROM customer
+SELECT 'P11' AS survey, c_custkey, c_name, c_nationkey, c_mktsegment FROM customer
 """)
 def p11_lower_relocate_constants(spark, sf):
     c = load(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     c = c.toDF("C_CUSTKEY", "C_NAME", "C_NATIONKEY", "C_MKTSEGMENT")
-    c = P.add_constants(P.lower_names(c), {"survey": "EMP"})
+    c = P.add_constants(P.lower_names(c), {"survey": "P11"})
     return P.relocate(c, ["survey"])
 
 
@@ -169,13 +169,13 @@ def p13_taxonomy_path(spark, sf):
 
 @query("p15_density_by_lab", with_fixtures(f"""
 SELECT Event, Line, Lab,
-       CASE WHEN Lab = 'BSA' THEN {rnd('cells * Factor')}
-            WHEN Lab = 'EcoAnalysts' THEN {rnd('unit * cells_per_unit')} END AS Cells_per_mL
+       CASE WHEN Lab = 'LabA' THEN {rnd('cells * Factor')}
+            WHEN Lab = 'LabB' THEN {rnd('unit * cells_per_unit')} END AS Cells_per_mL
 FROM li_bsa""", "li_bsa"))
 def p15_density_by_lab(spark, sf):
     df = fixture(spark, sf, "li_bsa")
-    f = P.by_group_formula("Lab", {"BSA": F.round(F.col("cells") * F.col("Factor"), 2),
-                                   "EcoAnalysts": F.round(F.col("unit") * F.col("cells_per_unit"), 2)})
+    f = P.by_group_formula("Lab", {"LabA": F.round(F.col("cells") * F.col("Factor"), 2),
+                                   "LabB": F.round(F.col("unit") * F.col("cells_per_unit"), 2)})
     return df.select("Event", "Line", "Lab", f.alias("Cells_per_mL"))
 
 
