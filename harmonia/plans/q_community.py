@@ -12,7 +12,7 @@ from harmonia.plans.q_project import rnd
 # Nations as sampling units, brands as taxa, quantities as counts.
 FIXTURES["nation_brand"] = """
 SELECT s.s_nationkey AS nation, n.n_regionkey AS region, p.p_brand AS Taxon, l.l_orderkey AS visit,
-       l.l_quantity AS qty, year(l.l_shipdate) AS Year, l.l_extendedprice AS price
+       l.l_quantity AS qty, CAST(year(l.l_shipdate) AS INT) AS Year, l.l_extendedprice AS price
 FROM {lineitem} l JOIN {supplier} s ON l.l_suppkey = s.s_suppkey JOIN {part} p ON l.l_partkey = p.p_partkey
 JOIN {nation} n ON s.s_nationkey = n.n_nationkey
 """
@@ -21,7 +21,7 @@ BRANDS = [f"Brand#{i}" for i in range(1, 26)]
 
 
 @query("a4_group_sums", with_fixtures("""
-SELECT Station, year(Date) AS Year, Taxon,
+SELECT Station, CAST(year(Date) AS INTEGER) AS Year, Taxon,
        round(CASE WHEN count(Units_per_mL) = count(*) THEN sum(Units_per_mL) END, 4) AS Units_per_mL,
        round(CASE WHEN count(Cells_per_mL) = count(*) THEN sum(Cells_per_mL) END, 4) AS Cells_per_mL,
        1 AS Binary
@@ -131,7 +131,7 @@ def a8_top_taxa_summary(spark, sf):
 
 
 @query("a9_year_group_share", f"""
-WITH t AS (SELECT year(o_orderdate) AS Year, o_orderpriority, coalesce(sum(o_totalprice), 0.0) AS total
+WITH t AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS Year, o_orderpriority, coalesce(sum(o_totalprice), 0.0) AS total
            FROM orders GROUP BY ALL)
 SELECT Year, o_orderpriority, round(total, 4) AS total,
        {rnd('total / sum(total) OVER (PARTITION BY Year)', 9)} AS share

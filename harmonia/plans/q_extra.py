@@ -175,7 +175,7 @@ def l4_metadata_report_debris(spark, sf):
 @query("l6_community_genus_sums", with_fixtures("""
 SELECT Station, Genus,
        CASE WHEN count(Cells_per_mL) = count(*) THEN round(sum(Cells_per_mL), 4) END AS Cells_per_mL,
-       1.0 AS Binary_sum
+       CAST(1.0 AS DOUBLE) AS Binary_sum
 FROM (SELECT Station, split_part(Taxon, '#', 1) AS Genus, Cells_per_mL FROM li_taxa) t GROUP BY ALL
 """, "li_taxa"))
 def l6_community_genus_sums(spark, sf):

@@ -418,7 +418,7 @@ def s6_fill_down(spark, sf):
 
 @query("w3_running_count", with_fixtures("""
 SELECT o_orderkey, Contact, StartDate,
-       sum(CASE WHEN StartDate IS NOT NULL THEN 1 ELSE 0 END) OVER (ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS x_index
+       CAST(sum(CASE WHEN StartDate IS NOT NULL THEN 1 ELSE 0 END) OVER (ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS x_index
 FROM ord_sheet""", "ord_sheet"))
 def w3_running_count(spark, sf):
     return G.running_count(fixture(spark, sf, "ord_sheet"), "StartDate", ["o_orderkey"])
