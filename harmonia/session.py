@@ -34,6 +34,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
+    # partition sizing for large inputs; only where the cluster set nothing
+    for k, v in {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+                 "spark.sql.files.maxPartitionBytes": "256m",
+                 "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4"}.items():
+        if spark.conf.get(k, None) in (None, ""):
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
