@@ -306,12 +306,17 @@ FROM {customer}
 """
 
 
-def _j14_sql():
+def edges_sql():
+    """The polygons as an edge table (oracle side)."""
     edges = []
     for idx, reg, sub, xs, ys in POLYGONS:
         for i in range(len(xs) - 1):
             edges.append(f"({idx}, '{reg}', '{sub}', {xs[i]}, {ys[i]}, {xs[i + 1]}, {ys[i + 1]})")
-    e = "(VALUES " + ", ".join(edges) + ") AS e(poly_idx, Region, SubRegion, x1, y1, x2, y2)"
+    return "(VALUES " + ", ".join(edges) + ") AS e(poly_idx, Region, SubRegion, x1, y1, x2, y2)"
+
+
+def _j14_sql():
+    e = edges_sql()
     return with_fixtures(f"""
 WITH cr AS (
   SELECT p.c_custkey, e.poly_idx, e.Region, e.SubRegion,
