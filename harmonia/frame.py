@@ -49,6 +49,8 @@ def with_row_id(df: DataFrame, order_cols: list[str] | None = None,
     row through one task).  Without it, the id is the position in the scan
     (``monotonically_increasing_id`` is a pure function of partition index
     and row position, so it is stable across task retries of a file scan).
+    That fallback is only meaningful directly on a scan: attach it before
+    any repartition (``read_table(..., row_id=ROW_ID)`` does).
     """
     if name in df.columns:
         return df

@@ -40,8 +40,13 @@ def spread(df: DataFrame, nbytes: int | None = None) -> DataFrame:
     return df
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", row_id: str | None = None,
+               **options) -> DataFrame:
+    """Scan a table.  With ``row_id`` the row's scan position is attached
+    BEFORE any spreading, so "first row" semantics follow the file order."""
     df = spark.read.format(fmt).options(**options).load(path)
+    if row_id:
+        df = df.withColumn(row_id, F.monotonically_increasing_id())
     return spread(df, _size(path))
 
 
