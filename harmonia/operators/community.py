@@ -86,7 +86,7 @@ def simper(long: DataFrame, unit: str, group: str, taxa_var: str = "Taxon", valu
     For each between-group pair of units (i, j) the contribution of taxon t
     is |x_it - x_jt| / sum_t'(x_it' + x_jt'); per taxon the mean (average),
     sd, ratio, the group means (ava, avb) and cumulative share of the sorted
-    averages.  Each pair of groups is one ``applyInPandas`` task on its
+    averages (ties in taxon order).  Each pair of groups is one ``applyInPandas`` task on its
     (bounded) unit x taxon matrix."""
     import numpy as np
     import pandas as pd
@@ -124,7 +124,10 @@ def simper(long: DataFrame, unit: str, group: str, taxa_var: str = "Taxon", valu
         sd = contrib.std(axis=0, ddof=1) if contrib.shape[0] > 1 else np.full(len(taxa), np.nan)
         out = pd.DataFrame({"group_a": g_a, "group_b": g_b, "taxon": taxa, "average": avg, "sd": sd,
                             "ratio": avg / sd, "ava": A.mean(axis=0), "avb": B.mean(axis=0)})
-        out = out.sort_values("average", ascending=False, kind="mergesort")
+        # ties broken by taxon; averages compared at 1e-12 so summation
+        # noise cannot reorder equal contributions
+        out = out.assign(__k=out["average"].round(12)).sort_values(["__k", "taxon"], ascending=[False, True],
+                                                                   kind="mergesort").drop(columns="__k")
         out["cumsum"] = out["average"].cumsum() / out["average"].sum()
         return out
 

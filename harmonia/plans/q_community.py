@@ -102,7 +102,7 @@ s AS (SELECT ga, gb, taxon, avg(contrib) AS average, stddev_samp(contrib) AS sd
 av AS (SELECT ga, gb, taxon, avg(v) FILTER (WHERE grp = ga) AS ava, avg(v) FILTER (WHERE grp = gb) AS avb
        FROM grid GROUP BY ALL),
 r AS (SELECT s.*, av.ava, av.avb,
-             sum(s.average) OVER (PARTITION BY s.ga, s.gb ORDER BY s.average DESC
+             sum(s.average) OVER (PARTITION BY s.ga, s.gb ORDER BY round(s.average, 12) DESC, s.taxon
                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
              / sum(s.average) OVER (PARTITION BY s.ga, s.gb) AS cs
       FROM s JOIN av USING (ga, gb, taxon))
