@@ -26,6 +26,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # checkpoint files of RDDs no longer referenced are removed by Spark
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # broadcast only sides proven small; lookups stay well under this
         "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     }
