@@ -366,3 +366,18 @@ def row_count_conserved(parts: list[DataFrame], union: DataFrame) -> DataFrame:
 
 def squished_equal(a: Column, b: Column) -> Column:
     return squish(a).eqNullSafe(squish(b))
+
+
+def taxonomy_unmatched(df: DataFrame, ref: DataFrame,
+                       levels=("Kingdom", "Phylum", "Class", "Genus", "Species")) -> DataFrame:
+    """Distinct classifications with no identical reference row
+    (NULL matches NULL)."""
+    d = df.select(*levels).distinct()
+    return _semi_ns(d, ref.select(*levels).distinct(), list(levels), "left_anti")
+
+
+def needing_synonym(df: DataFrame, ref: DataFrame, taxon: str = "Taxon", current: str = "CurrentTaxon") -> DataFrame:
+    """C25d: data rows whose name the reference maps to a newer name."""
+    changed = ref.where(F.col(current).isNotNull() & (F.col(current) != "None")).select(
+        F.lower(F.trim(F.col(taxon))).alias("__k")).distinct()
+    return df.join(changed, F.lower(F.trim(F.col(taxon))) == F.col("__k"), "left_semi")

@@ -538,3 +538,40 @@ def t10_month_keys(spark, sf):
     df = fixture(spark, sf, "ord_time")
     return df.select("o_orderkey", T.month_floor("Date").alias("m"), T.year_month_key("Date").alias("ym"),
                      T.month_label("Date").alias("mon"))
+
+
+@query("c25b_taxonomy_unmatched", with_fixtures("""
+WITH r AS (SELECT Genus, Species, min(Kingdom) AS Kingdom, min(Phylum) AS Phylum, min(Class) AS Class
+           FROM part_taxa GROUP BY Genus, Species),
+d AS (SELECT DISTINCT Kingdom, Phylum, Class, Genus, Species FROM part_taxa)
+SELECT * FROM d WHERE NOT EXISTS (
+  SELECT 1 FROM r WHERE r.Kingdom IS NOT DISTINCT FROM d.Kingdom AND r.Phylum IS NOT DISTINCT FROM d.Phylum
+    AND r.Class IS NOT DISTINCT FROM d.Class AND r.Genus IS NOT DISTINCT FROM d.Genus
+    AND r.Species IS NOT DISTINCT FROM d.Species)
+""", "part_taxa"))
+def c25b_taxonomy_unmatched(spark, sf):
+    pt = fixture(spark, sf, "part_taxa")
+    ref = pt.groupBy("Genus", "Species").agg(F.min("Kingdom").alias("Kingdom"), F.min("Phylum").alias("Phylum"),
+                                             F.min("Class").alias("Class"))
+    return CK.taxonomy_unmatched(pt, ref)
+
+
+@query("c25d_needing_synonym", with_fixtures("""
+SELECT d.p_partkey, d.Taxon FROM part_taxa d
+SEMI JOIN (SELECT DISTINCT lower(trim('P' || CAST(p.p_partkey AS VARCHAR))) AS k FROM part p WHERE p.p_size > 10) c
+ON lower(trim(d.Taxon)) = c.k
+""".replace("part_taxa d", "(SELECT p_partkey, 'p' || CAST(p_partkey AS VARCHAR) AS Taxon FROM part) d"),
+    "part_taxa"))
+def c25d_needing_synonym(spark, sf):
+    data = load(spark, sf, "part").select("p_partkey", F.concat(F.lit("p"), F.col("p_partkey").cast("string"))
+                                          .alias("Taxon"))
+    ref = fixture(spark, sf, "part_syn")
+    return CK.needing_synonym(data, ref)
+
+
+@query("c23b_code_list_conflicts_by_taxon", """
+WITH c AS (SELECT p_type, p_brand, p_size, count(*) AS "count" FROM part GROUP BY ALL)
+SELECT c.* FROM c SEMI JOIN (SELECT p_type FROM c GROUP BY p_type HAVING count(*) > 1) k ON c.p_type = k.p_type
+""")
+def c23b_code_list_conflicts_by_taxon(spark, sf):
+    return CK.code_list_conflicts(load(spark, sf, "part"), "p_type", "p_brand", "p_size")
