@@ -91,6 +91,14 @@ def distinct_keep_first(df: DataFrame, keys: list[str], order_cols: list[str] |
                       for k in df.columns if k != ROW_ID])
 
 
+def distinct_rows_keep_id(df: DataFrame, name: str = ROW_ID) -> DataFrame:
+    """C5 remove on a frame that carries a row id: identical rows collapse
+    to one that keeps the EARLIEST id (first occurrence), so later "first
+    row" rules still follow the input order."""
+    cols = [c for c in df.columns if c != name]
+    return df.groupBy(*cols).agg(F.min(name).alias(name)).select(*df.columns)
+
+
 def union_by_name(frames: list[DataFrame]) -> DataFrame:
     """``bind_rows``: union by column name, absent columns NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harmonia.frame import Result
+from harmonia.frame import ROW_ID, Result, with_row_id
 from harmonia.functions import timefn as T
 from harmonia.operators import checks as CK
 from harmonia.operators import combine as CB
@@ -69,7 +69,7 @@ def format_program(df: DataFrame, cfg: dict, typos: DataFrame | None = None, tax
     synonyms -> taxonomy -> duplicate checks -> subset -> combine -> no-data
     -> outliers.  ``cfg`` keys: renames, density ({unit, cell}), comment_col,
     meta_cols, match_cols, key_cols, subset, outlier_cutoff."""
-    res = Result(df.dropDuplicates())
+    res = Result(R.distinct_rows_keep_id(with_row_id(df)))
     if cfg.get("renames"):
         res = _merge(res, P.rename_cols(res.df, cfg["renames"]))
     res = _merge(res, P.remove_taxa_info(res.df))
@@ -216,8 +216,9 @@ def formatter_batch(frames: list[DataFrame], schema: dict, preset: str, meta: Da
     std = [P.standardize_columns(f, schema.get("mapping", {})) for f in frames]
     res = Result(R.union_by_name(std))
     if applies(schema, "duplicate_checks", preset):
-        res.logs["duplicate_rows"] = CK.duplicate_rows(res.df)
-        res = Result(res.df.dropDuplicates(), res.logs)
+        d = with_row_id(res.df)
+        res.logs["duplicate_rows"] = CK.duplicate_rows(d.drop(ROW_ID))
+        res = Result(R.distinct_rows_keep_id(d), res.logs)
     if applies(schema, "missing_datetime_checks", preset):
         res.logs["datetime_issues"] = CK.check_datetime(res.df)
     if applies(schema, "extreme_time_checks", preset) and "Time" in res.df.columns:
