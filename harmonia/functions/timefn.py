@@ -96,23 +96,36 @@ def local_to_fixed_offset(date_col, time_col, from_zone: str = "America/Los_Ange
     """A local wall-clock (date + ``H:mm[:ss]``) in ``from_zone``
     shown in the fixed zone ``to_zone`` (UTC-8 by default).  A NULL time is
     taken as midnight for the shift and NULL again afterwards; a time that
-    does not parse gives NULL date and time.  Returns (date, time)."""
+    does not parse gives NULL date and time.  Returns (date, time).
+
+    Wall clocks are ``TIMESTAMP_NTZ`` and zones are converted with
+    ``convert_timezone``, so the result does not depend on the session
+    time zone."""
     t = C(time_col)
     missing = t.isNull() | (t == "")
-    text = F.concat_ws(" ", C(date_col).cast("string"), F.when(missing, F.lit("00:00:00")).otherwise(t))
-    ts = F.coalesce(F.try_to_timestamp(text, F.lit("yyyy-MM-dd H:mm:ss")),
-                    F.try_to_timestamp(text, F.lit("yyyy-MM-dd H:mm")))
+    clock = F.when(missing, F.lit("00:00:00")).otherwise(t)
+    clock = F.when(clock.rlike(r"^([01]?\d|2[0-3]):[0-5]\d$"), F.concat(clock, F.lit(":00"))).otherwise(clock)
+    text = F.concat_ws(" ", C(date_col).cast("date").cast("string"), clock)
+    ok = clock.rlike(r"^([01]?\d|2[0-3]):[0-5]\d:[0-5]\d$") & C(date_col).isNotNull()
+    ts = F.when(ok, F.to_timestamp_ntz(text, F.lit("yyyy-MM-dd H:mm:ss")))
+    utc = F.lit("UTC")
     if from_zone.upper() == "UTC":
-        shifted = F.from_utc_timestamp(ts, to_zone)
+        u = ts
     else:
         # A repeated (fall-back) wall time takes the later, standard-time
         # offset, as lubridate does by default; Java would take the earlier.
-        u = F.to_utc_timestamp(ts, from_zone)
+        u = F.convert_timezone(F.lit(from_zone), utc, ts)
         u2 = u + F.expr("INTERVAL 1 HOUR")
-        u = F.when(F.from_utc_timestamp(u2, from_zone) == ts, u2).otherwise(u)
-        shifted = F.from_utc_timestamp(u, to_zone)
+        u = F.when(F.convert_timezone(utc, F.lit(from_zone), u2) == ts, u2).otherwise(u)
+    shifted = F.convert_timezone(utc, F.lit(to_zone), u)
     new_date = F.to_date(shifted)
-    new_time = F.when(missing, None).otherwise(F.date_format(shifted, out_format))
+    # formatted from the wall-clock fields: date_format would pass through the
+    # session zone, where this wall time may not exist
+    if out_format == "HH:mm":
+        txt = F.format_string("%02d:%02d", F.hour(shifted), F.minute(shifted))
+    else:
+        txt = F.format_string("%02d:%02d:%02d", F.hour(shifted), F.minute(shifted), F.second(shifted))
+    new_time = F.when(missing | shifted.isNull(), None).otherwise(txt)
     return new_date, new_time
 
 
