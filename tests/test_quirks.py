@@ -240,3 +240,18 @@ def test_duplicate_checks(spark):
     assert CK.duplicate_rows(df).count() == 4
     assert CK.count_duplicates(df).first()[0] == 2
     assert CK.remove_duplicates(df).count() == 3
+
+
+def test_time_functions_ignore_session_time_zone(spark, sf_small):
+    from harmonia.plans.q_checks import t6_convert_timezone_mixed
+    from harmonia.plans.q_joins import t8_to_fixed_offset
+    from harmonia.plans.q_extra import t9_utc_to_fixed_offset
+    fns = (t6_convert_timezone_mixed, t8_to_fixed_offset, t9_utc_to_fixed_offset)
+    base = [sorted(map(tuple, f(spark, sf_small).collect())) for f in fns]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        other = [sorted(map(tuple, f(spark, sf_small).collect())) for f in fns]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert base == other
