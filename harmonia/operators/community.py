@@ -80,14 +80,21 @@ def dissimilarity(long: DataFrame, unit: str, taxa_var: str = "Taxon", value: st
 
 
 def simper(long: DataFrame, unit: str, group: str, taxa_var: str = "Taxon", value: str = "value",
-           max_units: int = MAX_UNITS) -> DataFrame:
+           max_units: int = MAX_UNITS, permutations: int = 0, seed: int = 42) -> DataFrame:
     """SIMPER contributions for every pair of groups.
 
     For each between-group pair of units (i, j) the contribution of taxon t
     is |x_it - x_jt| / sum_t'(x_it' + x_jt'); per taxon the mean (average),
     sd, ratio, the group means (ava, avb) and cumulative share of the sorted
     averages (ties in taxon order).  Each pair of groups is one ``applyInPandas`` task on its
-    (bounded) unit x taxon matrix."""
+    (bounded) unit x taxon matrix.
+
+    With ``permutations`` > 0 a column ``p`` holds the permutation p-value
+    (share of seeded label permutations whose average is at least the
+    observed one, (k + 1) / (n + 1)); labels are permuted among the units of
+    the two groups compared."""
+    import zlib
+
     import numpy as np
     import pandas as pd
 
@@ -109,7 +116,12 @@ def simper(long: DataFrame, unit: str, group: str, taxa_var: str = "Taxon", valu
              .select(F.col("__p.ga").alias("ga"), F.col("__p.gb").alias("gb"), "unit", "grp", "taxon", "v"))
 
     schema = ("group_a string, group_b string, taxon string, average double, sd double, ratio double, "
-              "ava double, avb double, cumsum double")
+              "ava double, avb double, cumsum double" + (", p double" if permutations else ""))
+
+    def contributions(A, B):
+        tot = A.sum(axis=1)[:, None] + B.sum(axis=1)[None, :]          # i x j
+        diff = np.abs(A[:, None, :] - B[None, :, :]) / tot[:, :, None]  # i x j x taxa
+        return diff.reshape(-1, A.shape[1])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         g_a, g_b = pdf["ga"].iloc[0], pdf["gb"].iloc[0]
@@ -117,9 +129,7 @@ def simper(long: DataFrame, unit: str, group: str, taxa_var: str = "Taxon", valu
         taxa = list(m.columns)
         A = m.loc[g_a].to_numpy(dtype=float)
         B = m.loc[g_b].to_numpy(dtype=float)
-        tot = A.sum(axis=1)[:, None] + B.sum(axis=1)[None, :]          # i x j
-        diff = np.abs(A[:, None, :] - B[None, :, :]) / tot[:, :, None]  # i x j x taxa
-        contrib = diff.reshape(-1, len(taxa))
+        contrib = contributions(A, B)
         avg = contrib.mean(axis=0)
         sd = contrib.std(axis=0, ddof=1) if contrib.shape[0] > 1 else np.full(len(taxa), np.nan)
         out = pd.DataFrame({"group_a": g_a, "group_b": g_b, "taxon": taxa, "average": avg, "sd": sd,
@@ -129,6 +139,16 @@ def simper(long: DataFrame, unit: str, group: str, taxa_var: str = "Taxon", valu
         out = out.assign(__k=out["average"].round(12)).sort_values(["__k", "taxon"], ascending=[False, True],
                                                                    kind="mergesort").drop(columns="__k")
         out["cumsum"] = out["average"].cumsum() / out["average"].sum()
+        if permutations:
+            pooled = np.vstack([A, B])
+            rng = np.random.default_rng([seed, zlib.crc32(f"{g_a}|{g_b}".encode())])  # stable per pair
+            hits = np.zeros(len(taxa))
+            for _ in range(permutations):
+                idx = rng.permutation(len(pooled))
+                pa, pb = pooled[idx[:len(A)]], pooled[idx[len(A):]]
+                hits += contributions(pa, pb).mean(axis=0) >= avg - 1e-12
+            p_by_taxon = dict(zip(taxa, (hits + 1) / (permutations + 1)))
+            out["p"] = out["taxon"].map(p_by_taxon)
         return out
 
     return both.groupBy("ga", "gb").applyInPandas(run, schema)

@@ -119,6 +119,14 @@ def a7_simper(spark, sf):
     return rounded(out, ["average", "sd", "ratio", "ava", "avb", "cumsum"], 9)
 
 
+@query("a7_simper_permutation_p")
+def a7_simper_permutation_p(spark, sf):
+    """Permutation p-values (seeded, 100 permutations); no SQL oracle since
+    they come from random label permutations -- see tests for the checks."""
+    lng = CM.community_long(fixture(spark, sf, "nation_brand"), ["nation", "region"], "qty", "Taxon")
+    return CM.simper(lng, "nation", "region", permutations=100).select("group_a", "group_b", "taxon", "average", "p")
+
+
 @query("a8_top_taxa_summary", with_fixtures("""
 WITH top AS (SELECT Taxon FROM (SELECT Taxon, sum(qty) AS total FROM nation_brand GROUP BY Taxon)
              ORDER BY total DESC NULLS LAST, Taxon LIMIT 6)

@@ -255,3 +255,19 @@ def test_time_functions_ignore_session_time_zone(spark, sf_small):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert base == other
+
+
+def test_simper_permutation_p_values(spark):
+    rnd = np.random.default_rng(11)
+    rows = []
+    for i in range(12):
+        g = "a" if i < 6 else "b"
+        for j in range(4):
+            v = float(rnd.integers(1, 4)) + (30.0 if (g == "a" and j == 0) else 0.0)
+            rows.append((f"u{i}", g, f"t{j}", v))
+    long = spark.createDataFrame(rows, "unit string, g string, Taxon string, value double")
+    a = {r["taxon"]: r["p"] for r in CM.simper(long, "unit", "g", permutations=99).collect()}
+    b = {r["taxon"]: r["p"] for r in CM.simper(long, "unit", "g", permutations=99).collect()}
+    assert a == b                                                 # seeded: reproducible
+    assert all(0 < p <= 1 for p in a.values())
+    assert a["t0"] <= 0.05                                        # the separating taxon
