@@ -41,8 +41,14 @@ def clean_time_text(x) -> Column:
 
 
 def time_from_stamp(x) -> Column:
-    """T5: ``m/d/yyyy h:mm`` text -> ``h:mm`` part."""
-    return F.nullif(F.regexp_extract(C(x), r"\s(\d{1,2}:\d{2})", 1), F.lit(""))
+    """T5: ``m/d/yyyy h:mm[...]`` text -> ``h:mm``; text that does not look
+    like a stamp is returned unchanged (a pattern replace, as in the source)."""
+    return F.regexp_replace(C(x), r"^\d{1,2}/\d{1,2}/\d{4}\s+(\d{1,2}:\d{2}).*$", "$1")
+
+
+def flag_to_bool(x, yes: str = "y", no: str = "n") -> Column:
+    """T5: replicate flag ``y`` / ``n`` -> TRUE / FALSE, anything else NULL."""
+    return F.when(C(x) == yes, F.lit(True)).when(C(x) == no, F.lit(False))
 
 
 def date_from_stamp(x) -> Column:

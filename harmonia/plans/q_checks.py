@@ -490,11 +490,17 @@ def t4_clean_time_text(spark, sf):
 
 @query("t5_split_stamp", with_fixtures(
     "SELECT o_orderkey, TRY_CAST(TRY_STRPTIME(mdy, '%m/%d/%Y') AS DATE) AS d, "
-    "nullif(regexp_extract(mdy || ' ' || Time, '\\s(\\d{1,2}:\\d{2})', 1), '') AS t FROM ord_time", "ord_time"))
+    "regexp_replace(concat_ws(' ', mdy, Time), '^\\d{1,2}/\\d{1,2}/\\d{4}\\s+(\\d{1,2}:\\d{2}).*$', '\\1') AS t, "
+    "CASE WHEN o_orderstatus = 'F' THEN 'y' WHEN o_orderstatus = 'O' THEN 'n' ELSE 'maybe' END AS replicate_raw, "
+    "CASE WHEN o_orderstatus = 'F' THEN true WHEN o_orderstatus = 'O' THEN false END AS Replicate "
+    "FROM ord_time JOIN orders USING (o_orderkey)", "ord_time"))
 def t5_split_stamp(spark, sf):
-    df = fixture(spark, sf, "ord_time")
+    df = fixture(spark, sf, "ord_time").join(load(spark, sf, "orders").select("o_orderkey", "o_orderstatus"),
+                                             "o_orderkey")
     stamp = F.concat_ws(" ", "mdy", "Time")
-    return df.select("o_orderkey", T.date_from_stamp(stamp).alias("d"), T.time_from_stamp(stamp).alias("t"))
+    raw = F.when(F.col("o_orderstatus") == "F", "y").when(F.col("o_orderstatus") == "O", "n").otherwise("maybe")
+    return df.select("o_orderkey", T.date_from_stamp(stamp).alias("d"), T.time_from_stamp(stamp).alias("t"),
+                     raw.alias("replicate_raw"), T.flag_to_bool(raw).alias("Replicate"))
 
 
 _DST = ("(Date >= (make_date(year(Date), 3, 8) + CAST((7 - isodow(make_date(year(Date), 3, 8))) % 7 AS INTEGER)) "
