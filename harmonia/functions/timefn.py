@@ -35,8 +35,10 @@ def parse_date_multi(x, formats=("M/d/yyyy", "d/M/yyyy", "yyyy-M-d")) -> Column:
 
 
 def clean_time_text(x) -> Column:
-    """T4: drop a trailing ``:00`` seconds part; ``00:00`` means unknown -> NULL."""
-    t = F.regexp_replace(C(x), r"^(\d{1,2}:\d{2}):00$", "$1")
+    """T4: drop a trailing ``:00`` (as the source does, literally: a clock
+    already without seconds loses its ``:00`` minutes too); ``00:00`` means
+    unknown -> NULL."""
+    t = F.regexp_replace(C(x), r":00$", "")
     return F.when(t == "00:00", None).otherwise(t)
 
 
