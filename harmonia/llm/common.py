@@ -95,3 +95,18 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
             break
         seen = now
     return cur.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def in_block_pairs(rows: DataFrame, id_col: str, blocks: str) -> DataFrame:
+    """Deal the rows of a group into all pairs of its blocks.
+
+    ``blocks`` holds the group's number of blocks; a row goes to one block by
+    its id's hash and is copied once per other block.  Adds ``bi``, ``bj``
+    and ``side``: 0 and 1 for the rows of the lower and the higher block, 2
+    where a block meets itself.
+    """
+    rows = rows.withColumn("_b", F.pmod(F.xxhash64(id_col, F.lit("block")), F.col(blocks)).cast("int"))
+    rows = rows.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col(blocks) - 1)))
+    return rows.withColumns({
+        "bi": F.least("_b", "_o"), "bj": F.greatest("_b", "_o"),
+        "side": F.when(F.col("_b") == F.col("_o"), 2).when(F.col("_b") < F.col("_o"), 0).otherwise(1)}).drop("_b", "_o")
