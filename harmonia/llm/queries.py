@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harmonia.llm import bpe_rank, chat, embed_dedup, html_layout, langid, lines, minhash, packing, quality
+from harmonia.llm import bpe_rank, chat, embed_dedup, html_layout, langid, lines, minhash, packing, quality, suffix
 from harmonia.llm.common import table
 
 
@@ -66,6 +66,10 @@ def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.line_quality(table(spark, sf_dir, "documents")).drop("cleaned")
 
 
+def op7_induced_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = html_layout.extract_pages(table(spark, sf_dir, "pages"))
     return got.withColumns({"n_chars": F.length("text").cast("bigint"),
@@ -135,6 +139,7 @@ QUERIES = {
     "op4_swap_packing": (op4_swap_packing, None),
     "op5_ecoc_langid": (op5_ecoc_langid, None),
     "op6_line_quality": (op6_line_quality, None),
+    "op7_induced_suffix": (op7_induced_suffix, None),
     "op8_html_layout": (op8_html_layout, None),
     "op9_rank_bpe": (op9_rank_bpe, None),
     "op10_line_windows": (op10_line_windows, OP10_SQL),
