@@ -153,27 +153,47 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     return train(x, [v for v, _ in order])
 
 
+def _predict(model: Model | None, texts: list[str | None], lead: float) -> tuple[list[str], list[float], list[bool]]:
+    """Language, score and ambiguity of texts, in runs of bounded size."""
+    plain = [letters_only(t) if t and model else "" for t in texts]
+    said, score, vague = [UNDETERMINED] * len(plain), [0.0] * len(plain), [False] * len(plain)
+    known = [i for i, t in enumerate(plain) if t]
+    at = 0
+    while at < len(known):
+        end, size = at, 0
+        while end < len(known) and size < RUN_BYTES and end - at < 256:
+            size += len(plain[known[end]])
+            end += 1
+        got = model.decide(counts([plain[i] for i in known[at:end]]), lead)
+        for i, a, b, c in zip(known[at:end], *got):
+            said[i], score[i], vague[i] = a, float(b), bool(c)
+        at = end
+    return said, score, vague
+
+
 def identify(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str = "text",
              lead: float = 0.2) -> DataFrame:
     """``doc_id, lang_pred, score, ambiguous`` of every row, from whole texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [letters_only(t) if t and model else "" for t in batch.column(1).to_pylist()]
-            said, score, vague = [UNDETERMINED] * len(texts), [0.0] * len(texts), [False] * len(texts)
-            known = [i for i, t in enumerate(texts) if t]
-            at = 0
-            while at < len(known):
-                end, size = at, 0
-                while end < len(known) and size < RUN_BYTES and end - at < 256:
-                    size += len(texts[known[end]])
-                    end += 1
-                got = model.decide(counts([texts[i] for i in known[at:end]]), lead)
-                for i, a, b, c in zip(known[at:end], *got):
-                    said[i], score[i], vague[i] = a, float(b), bool(c)
-                at = end
+            said, score, vague = _predict(model, batch.column(1).to_pylist(), lead)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(said, pa.string()), pa.array(score, pa.float64()), pa.array(vague, pa.bool_())],
                 names=["doc_id", "lang_pred", "score", "ambiguous"])
 
     return docs.select(doc_id, text).mapInArrow(
         run, f"doc_id {sql_type(docs, doc_id)}, lang_pred string, score double, ambiguous boolean")
+
+
+def keep_identified(docs: DataFrame, model: Model | None, text: str = "text", min_score: float = 0.3,
+                    lead: float = 0.2) -> DataFrame:
+    """The rows of ``docs`` with a language: not ``und``, and not both ambiguous and below ``min_score``."""
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            said, score, vague = _predict(model, batch.column(at).to_pylist(), lead)
+            yield batch.filter(pa.array([a != UNDETERMINED and not (c and b < min_score)
+                                         for a, b, c in zip(said, score, vague)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -67,7 +67,7 @@ def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_induced_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+    return suffix.measure_repeats(table(spark, sf_dir, "documents"))
 
 
 def op8_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:

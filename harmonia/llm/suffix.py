@@ -280,37 +280,57 @@ def merge_ranges(a: np.ndarray, b: np.ndarray, size: int) -> tuple[np.ndarray, n
     return a[new], b[np.concatenate((new[1:], [True]))]
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH,
-                   with_text: bool = False) -> DataFrame:
-    """Per row ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``; with ``with_text`` also ``kept``.
+def _cut_out(raw: bytes, cuts: pa.ListScalar) -> tuple[bytes, int, int]:
+    """Remaining bytes, and the number of removed bytes and runs."""
+    if not cuts.is_valid:
+        return raw, 0, 0
+    a, b = merge_ranges(cuts.values.field(0).to_numpy(), cuts.values.field(1).to_numpy(), len(raw))
+    edges = [0, *np.stack((a, b), 1).ravel().tolist(), len(raw)]
+    return b"".join(raw[x:y] for x, y in zip(edges[::2], edges[1::2])), int((b - a).sum()), len(a)
 
-    ``kept`` is the remaining bytes as text; a character that loses bytes is
-    dropped.  The documents are shuffled once: both joins reuse the exchange.
-    """
-    id_type = sql_type(docs, doc_id)
-    keyed = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NULL_ID)).alias("d"), F.col(text).alias("text"))
-    lists = repeated_ranges(keyed, length).groupBy("d").agg(F.collect_list(F.struct("a", "b")).alias("cuts"))
-    fields = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept string" * with_text
 
+def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NULL_ID)).alias("d"), F.col(text).alias("text"))
+
+
+def _cut_lists(keyed: DataFrame, length: int) -> DataFrame:
+    return repeated_ranges(keyed, length).groupBy("d").agg(F.collect_list(F.struct("a", "b")).alias("cuts"))
+
+
+def measure_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+    """Per row ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``.
+
+    The documents are shuffled once: both joins read the same exchange.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in fields.split(", ")]
+            out: list[list] = [[] for _ in range(5)]
             for d, t, cuts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                raw, gone, spans = t.encode() if t else b"", 0, 0
-                kept = raw
-                if cuts.is_valid:
-                    a, b = merge_ranges(cuts.values.field(0).to_numpy(), cuts.values.field(1).to_numpy(), len(raw))
-                    spans, gone = len(a), int((b - a).sum())
-                    edges = [0, *np.stack((a, b), 1).ravel().tolist(), len(raw)]
-                    kept = b"".join(raw[x:y] for x, y in zip(edges[::2], edges[1::2]))
-                row = [None if d == NULL_ID else d, len(raw), gone, spans, hashlib.sha256(kept).hexdigest()]
-                if with_text:
-                    row.append(None if t is None else kept.decode(errors="ignore"))
+                raw = t.encode() if t else b""
+                kept, gone, spans = _cut_out(raw, cuts)
+                row = (None if d == NULL_ID else d, len(raw), gone, spans, hashlib.sha256(kept).hexdigest())
                 for c, v in zip(out, row):
                     c.append(v)
-            kinds = [pa.int64()] * 4 + [pa.string()] * (1 + with_text)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)],
-                                             names=[f.split()[0] for f in fields.split(", ")])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, [pa.int64()] * 4 + [pa.string()])],
+                                             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+    keyed = _keyed(docs, doc_id, text)
+    got = keyed.join(_cut_lists(keyed, length), "d", "left").select("d", "text", "cuts").mapInArrow(
+        run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    return got.withColumn("doc_id", F.col("doc_id").cast(sql_type(docs, doc_id)))
+
 
-    got = keyed.join(lists, "d", "left").select("d", "text", "cuts").mapInArrow(run, fields)
-    return got.withColumn("doc_id", F.col("doc_id").cast(id_type))
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+    """``docs`` with all columns and the remaining text; a character that loses bytes is dropped."""
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            new = [None if t is None else _cut_out(t.encode(), cuts)[0].decode(errors="ignore") if cuts.is_valid else t
+                   for t, cuts in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1))]
+            cols = [pa.array(new, pa.string()) if i == at else c for i, c in enumerate(batch.columns[:-1])]
+            yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names[:-1])
+
+    cuts = _cut_lists(_keyed(docs, doc_id, text), length).withColumnsRenamed({"d": "_d", "cuts": "_cuts"})
+    key = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NULL_ID))
+    return docs.join(cuts, key == F.col("_d"), "left").drop("_d").mapInArrow(run, docs.schema)
