@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harmonia.llm import langid, lines, minhash, packing, suffix
-from harmonia.llm.common import table
+from harmonia.llm.common import fresh, table
 from harmonia.session import checkpoint_dir
 
 
@@ -37,8 +37,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays (the smallest id)."""
-    kept = minhash.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    name = fresh(docs, "_kept")
+    kept = minhash.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias(name))
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ count.
 Cases: null text stays null; texts under three lines are unchanged; a text
 whose lines all go becomes empty; rows that repeat a doc_id count as one
 document; null doc_id is a key like others and sorts first; other columns
-are passed through; no rows: no rows.
+are passed through (``_n_lines``, ``_n_removed`` and ``_n_spans`` are replaced); no rows: no rows.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from harmonia.llm.common import fresh
+
 WINDOW = 3
 
 
@@ -49,16 +51,17 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = WINDOW) -> DataFrame:
     """All columns of ``docs`` with the cleaned ``text``, plus ``_n_lines``,
     ``_n_removed`` and ``_n_spans`` (runs of removed lines)."""
-    gone = repeated_lines(docs, doc_id, text, size).withColumnsRenamed({"d": "_d", "gone": "_gone"})
-    got = docs.join(gone, F.col(doc_id).eqNullSafe(F.col("_d")), "left")
+    who, out, parts = fresh(docs, "_d"), fresh(docs, "_gone"), fresh(docs, "_lines")
+    gone = repeated_lines(docs, doc_id, text, size).withColumnsRenamed({"d": who, "gone": out})
+    got = docs.join(gone, F.col(doc_id).eqNullSafe(F.col(who)), "left")
     none = F.array().cast("array<int>")
-    got = got.withColumn("_gone", F.coalesce("_gone", none)).withColumn("_lines", F.split(F.col(text), "\n", -1))
+    got = got.withColumn(out, F.coalesce(out, none)).withColumn(parts, F.split(F.col(text), "\n", -1))
     # walk over the kept positions only: the complement of the removed ones
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    new = F.when(F.size("_gone") == 0, F.col(text)).otherwise(
-        F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n"))
-    starts = F.filter("_gone", lambda i: ~F.array_contains("_gone", i - 1))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(out))
+    new = F.when(F.size(out) == 0, F.col(text)).otherwise(
+        F.array_join(F.transform(kept, lambda i: F.get(F.col(parts), i)), "\n"))
+    starts = F.array_except(F.col(out), F.transform(F.col(out), lambda i: i + 1))
     return got.withColumns({
-        text: new, "_n_lines": F.coalesce(F.size("_lines"), F.lit(0)).cast("bigint"),
-        "_n_removed": F.size("_gone").cast("bigint"), "_n_spans": F.size(starts).cast("bigint"),
-    }).drop("_d", "_gone", "_lines")
+        text: new, "_n_lines": F.coalesce(F.size(parts), F.lit(0)).cast("bigint"),
+        "_n_removed": F.size(out).cast("bigint"), "_n_spans": F.size(starts).cast("bigint"),
+    }).drop(who, out, parts)

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harmonia.llm.common import keyed_runs, sql_type
+from harmonia.llm.common import fresh, keyed_runs, sql_type
 from harmonia.llm.induced import Scratch, suffix_order
 
 LENGTH = 100
@@ -331,6 +331,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             cols = [pa.array(new, pa.string()) if i == at else c for i, c in enumerate(batch.columns[:-1])]
             yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names[:-1])
 
-    cuts = _cut_lists(_keyed(docs, doc_id, text), length).withColumnsRenamed({"d": "_d", "cuts": "_cuts"})
+    who, ranges = fresh(docs, "_d"), fresh(docs, "_cuts")
+    cuts = _cut_lists(_keyed(docs, doc_id, text), length).withColumnsRenamed({"d": who, "cuts": ranges})
     key = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NULL_ID))
-    return docs.join(cuts, key == F.col("_d"), "left").drop("_d").mapInArrow(run, docs.schema)
+    return docs.join(cuts, key == F.col(who), "left").drop(who).mapInArrow(run, docs.schema)
