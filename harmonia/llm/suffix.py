@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harmonia.llm.common import fresh, keyed_runs, sql_type
+from harmonia.llm.common import keyed_runs, sql_type
 from harmonia.llm.induced import Scratch, suffix_order
 
 LENGTH = 100
@@ -128,7 +128,7 @@ def _scan(docs: DataFrame, length: int) -> DataFrame:
         if held:
             yield flush(held)
 
-    return docs.mapInArrow(run, "h bigint, g bigint, d bigint, p bigint, n int, loop boolean, "
+    return docs.select("d", "text").mapInArrow(run, "h bigint, g bigint, d bigint, p bigint, n int, loop boolean, "
                                 "more array<struct<d:bigint,p:bigint>>")
 
 
@@ -143,7 +143,8 @@ def _texts(docs: DataFrame, marked: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for d, t, segs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            for d, t, segs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                                  batch.column(batch.num_columns - 1)):
                 raw = t.encode() if t else b""
                 h, p, n, sort = (segs.values.field(i).to_numpy(zero_copy_only=False) for i in range(4))
                 at = np.flatnonzero(sort)
@@ -159,7 +160,8 @@ def _texts(docs: DataFrame, marked: DataFrame, length: int) -> DataFrame:
                      pa.array([*[None] * len(at), *extra], pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))],
                     names=["h", "d", "p", "n", "text", "cuts"])
 
-    return docs.join(lists, "d").select("d", "text", "segs").mapInArrow(
+    # no column is pruned here, so that the last join can read the same exchange of the documents
+    return docs.join(lists, "d").mapInArrow(
         run, "h bigint, d bigint, p bigint, n int, text binary, cuts array<struct<a:bigint,b:bigint>>")
 
 
@@ -289,8 +291,9 @@ def _cut_out(raw: bytes, cuts: pa.ListScalar) -> tuple[bytes, int, int]:
     return b"".join(raw[x:y] for x, y in zip(edges[::2], edges[1::2])), int((b - a).sum()), len(a)
 
 
-def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NULL_ID)).alias("d"), F.col(text).alias("text"))
+def _keyed(docs: DataFrame, doc_id: str, text: str, others: tuple[str, ...] = ()) -> DataFrame:
+    return docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NULL_ID)).alias("d"), F.col(text).alias("text"),
+                       *[F.col(c).alias(f"x{i}") for i, c in enumerate(others)])
 
 
 def _cut_lists(keyed: DataFrame, length: int) -> DataFrame:
@@ -321,17 +324,19 @@ def measure_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """``docs`` with all columns and the remaining text; a character that loses bytes is dropped."""
-    at = docs.columns.index(text)
+    """``docs`` with all columns and the remaining text; a character that loses bytes is dropped.
+
+    The documents are shuffled once: both joins read the same exchange.
+    """
+    others = [c for c in docs.columns if c != text]
+    place = [1 if c == text else 2 + others.index(c) for c in docs.columns]
+    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            new = [None if t is None else _cut_out(t.encode(), cuts)[0].decode(errors="ignore") if cuts.is_valid else t
-                   for t, cuts in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1))]
-            cols = [pa.array(new, pa.string()) if i == at else c for i, c in enumerate(batch.columns[:-1])]
-            yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names[:-1])
-
-    who, ranges = fresh(docs, "_d"), fresh(docs, "_cuts")
-    cuts = _cut_lists(_keyed(docs, doc_id, text), length).withColumnsRenamed({"d": who, "cuts": ranges})
-    key = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NULL_ID))
-    return docs.join(cuts, key == F.col(who), "left").drop(who).mapInArrow(run, docs.schema)
+            new = [_cut_out(t.encode(), cuts)[0].decode(errors="ignore") if t is not None and cuts.is_valid else t
+                   for t, cuts in zip(batch.column(1).to_pylist(), batch.column(batch.num_columns - 1))]
+            yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if i == 1 else batch.column(i) for i in place], names=names)
+
+    keyed = _keyed(docs, doc_id, text, tuple(others))
+    return keyed.join(_cut_lists(keyed, length), "d", "left").mapInArrow(run, docs.schema)
