@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from harmonia.llm.common import sql_type
 
 #: Hashed n-gram counts per text.
-DIMS = 8192
+DIMS = 4096
 GRAMS = (2, 3, 4)
 MAX_TRAIN = 3000
 UNDETERMINED = "und"
@@ -142,15 +142,20 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
         for batch in batches:
             texts = [letters_only(t) for t in batch.column(0).to_pylist()]
             rows = [r.astype(np.float16).tobytes() if t else None for t, r in zip(texts, counts(texts))]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), batch.column(1)], names=["x", "lang"])
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), batch.column(1), batch.column(2)],
+                                             names=["x", "lang", "h"])
 
-    got = (usable.filter(rank <= ids).select(F.col(text).alias("t"), F.col(lang).cast("string").alias("lang"))
-           .mapInArrow(features, "x binary, lang string").filter("x is not null").limit(max_train).toArrow())
+    got = (usable.filter(rank <= ids).select(F.col(text).alias("t"), F.col(lang).cast("string").alias("lang"), rank.alias("h"))
+           .mapInArrow(features, "x binary, lang string, h bigint").filter("x is not null").limit(max_train).toArrow())
     if not got.num_rows:
         return None
-    order = sorted(zip(got.column("lang").to_pylist(), got.column("x").to_pylist()))
-    x = np.stack([np.frombuffer(v, np.float16) for _, v in order]).astype(np.float32)
-    return train(x, [v for v, _ in order])
+    got = got.sort_by([("h", "ascending"), ("lang", "ascending")])
+    x = np.empty((got.num_rows, DIMS), np.float32)
+    for i, v in enumerate(got.column("x")):
+        x[i] = np.frombuffer(v.as_buffer(), np.float16)
+    labels = got.column("lang").to_pylist()
+    del got
+    return train(x, labels)
 
 
 def _predict(model: Model | None, texts: list[str | None], lead: float) -> tuple[list[str], list[float], list[bool]]:
