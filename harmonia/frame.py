@@ -71,3 +71,11 @@ def require_columns(df: DataFrame, cols, what: str = "column") -> None:
     missing = [c for c in cols if c not in df.columns]
     if missing:
         raise ValueError(f"missing {what}(s): {', '.join(missing)}")
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where NULL matches NULL; the keys of ``left`` are kept."""
+    keys = list(keys)
+    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    out = left.join(r, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys], how)
+    return out.drop(*[f"__r_{k}" for k in keys])

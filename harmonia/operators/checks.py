@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harmonia.frame import ROW_ID, Result
+from harmonia.frame import ROW_ID, Result, null_safe_join
 from harmonia.functions.exprs import squish
 from harmonia.functions.timefn import VALID_TIME, time_hour, time_minutes_text
 from harmonia.operators.reshape import distinct_keep_first
@@ -308,7 +308,7 @@ def code_crosstab(df: DataFrame, code_col: str, by: str = "Survey", strip: str |
     totals = df.groupBy(by).agg(F.count(F.lit(1)).alias("__tot"))
     codes = df.select(by, F.explode(F.split(c, " ")).alias("code")).where(F.col("code") != "")
     counts = codes.groupBy(by, "code").agg(F.count(F.lit(1)).alias("n"))
-    pct = counts.join(totals, by).select(by, "code", F.round(F.col("n") * 100.0 / F.col("__tot"), 2).alias("pct"))
+    pct = null_safe_join(counts, totals, [by]).select(by, "code", F.round(F.col("n") * 100.0 / F.col("__tot"), 2).alias("pct"))
     wide = pct.groupBy("code").pivot(by, surveys).agg(F.first("pct"))
     return wide.fillna(0.0, subset=[x for x in wide.columns if x != "code"])
 
@@ -339,16 +339,17 @@ def taxonomy_mismatch(df: DataFrame, ref: DataFrame, on=("Genus", "Species"),
     """Rows whose Genus+Species match the reference but a higher level
     differs (null-safe)."""
     r = ref.select(*on, *[F.col(c).alias(f"ref_{c}") for c in levels])
-    j = df.join(r, list(on))
+    j = null_safe_join(df, r, on)
     diff = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"ref_{c}")) for c in levels])
     return j.where(diff)
 
 
 def time_mismatch(df: DataFrame, other: DataFrame, on=("Station", "Date"), time_col: str = "Time") -> DataFrame:
     """Left join another table's times; keep rows whose other time is
-    missing or differs in the first 5 characters."""
+    missing or differs in the first 5 characters; rows without a time of
+    their own are left out."""
     o = other.select(*on, F.col(time_col).alias("OtherTime")).distinct()
-    j = df.join(o, list(on), "left")
+    j = null_safe_join(df.where(F.col(time_col).isNotNull()), o, on, "left")
     same = F.substring(F.col(time_col), 1, 5) == F.substring(F.col("OtherTime"), 1, 5)
     return j.where(F.col("OtherTime").isNull() | ~F.coalesce(same, F.lit(False))).distinct()
 

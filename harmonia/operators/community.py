@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from harmonia.frame import null_safe_join
 from harmonia.functions.exprs import sum_strict
 
 MAX_UNITS = 5_000
@@ -39,7 +40,7 @@ def community_long(df: DataFrame, group_var: list[str], measure: str, taxa_var:
     if avg_var:
         effort = (df.select(*group_var, *avg_var).distinct().groupBy(*group_var)
                     .agg(F.count(F.lit(1)).alias("__n")))
-        s = s.join(effort, list(group_var), "left").withColumn("value", F.col("value") / F.col("__n")).drop("__n")
+        s = null_safe_join(s, effort, group_var, "left").withColumn("value", F.col("value") / F.col("__n")).drop("__n")
     return s
 
 
@@ -55,26 +56,44 @@ def _check_units(long: DataFrame, unit_cols: list[str], max_units: int) -> None:
         raise ValueError(f"{n}+ units exceed max_units={max_units}; aggregate or block first")
 
 
-def dissimilarity(long: DataFrame, unit: str, taxa_var: str = "Taxon", value: str = "value",
-                  method: str = "bray", max_units: int = MAX_UNITS) -> DataFrame:
-    """Pairwise Bray-Curtis (1 - 2 sum(min) / (sum a + sum b)) or
-    quantitative Jaccard (2B / (1 + B)) between units.
+def _unit_pairs(units: DataFrame, block_rows: int = 1024) -> DataFrame:
+    """All pairs ``ua < ub`` of units, made block by block: units are dealt
+    into blocks by hash, every block meets every other once (an equi-join on
+    the block pair), so each task handles a bounded square."""
+    n = units.count()
+    blocks = max(1, -(-n // block_rows))
+    u = units.withColumn("b", F.pmod(F.xxhash64("u"), F.lit(blocks)).cast("int"))
+    u = u.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    u = u.select("u", "tot", F.least("b", "o").alias("bi"), F.greatest("b", "o").alias("bj"), "b")
+    left = u.where(F.col("b") == F.col("bi")).select(F.col("u").alias("x"), F.col("tot").alias("tx"), "bi", "bj")
+    right = u.where(F.col("b") == F.col("bj")).select(F.col("u").alias("y"), F.col("tot").alias("ty"), "bi", "bj")
+    both = left.join(right, ["bi", "bj"]).where((F.col("bi") < F.col("bj")) | (F.col("x") < F.col("y")))
+    less = F.col("x") < F.col("y")
+    return both.where(F.col("x") != F.col("y")).select(
+        F.least("x", "y").alias("ua"), F.greatest("x", "y").alias("ub"),
+        F.when(less, F.col("tx")).otherwise(F.col("ty")).alias("ta"),
+        F.when(less, F.col("ty")).otherwise(F.col("tx")).alias("tb"))
 
-    Sparse: the self-join on taxon only meets pairs that share a taxon, so
-    only those pairs are returned; every other pair of non-empty units is
-    at distance 1 by definition.  Units are bounded by ``max_units``."""
-    _check_units(long, [unit], max_units)
+
+def dissimilarity(long: DataFrame, unit: str, taxa_var: str = "Taxon", value: str = "value",
+                  method: str = "bray") -> DataFrame:
+    """Bray-Curtis (1 - 2 sum(min) / (sum a + sum b)) or quantitative
+    Jaccard (2B / (1 + B)) of every pair of non-empty units.
+
+    Shared amounts come from a self-join on taxon; pairs that share nothing
+    are at distance 1.  The result is quadratic in units by definition; the
+    aggregated matrix is computed once and cut."""
+    from harmonia.session import checkpoint_dir
+    checkpoint_dir(long.sparkSession)
     x = long.where(F.col(value) > 0).select(F.col(unit).alias("u"), F.col(taxa_var).alias("t"),
-                                            F.col(value).cast("double").alias("v"))
+                                            F.col(value).cast("double").alias("v")).checkpoint()
     tot = x.groupBy("u").agg(F.sum("v").alias("tot"))
     a = x.select(F.col("u").alias("ua"), "t", F.col("v").alias("va"))
     b = x.select(F.col("u").alias("ub"), "t", F.col("v").alias("vb"))
     shared = (a.join(b, "t").where(F.col("ua") < F.col("ub"))
                 .groupBy("ua", "ub").agg(F.sum(F.least("va", "vb")).alias("smin")))
-    ta = tot.select(F.col("u").alias("ua"), F.col("tot").alias("ta"))
-    tb = tot.select(F.col("u").alias("ub"), F.col("tot").alias("tb"))
-    d = shared.join(F.broadcast(ta), "ua").join(F.broadcast(tb), "ub")
-    bray = F.lit(1.0) - F.lit(2.0) * F.col("smin") / (F.col("ta") + F.col("tb"))
+    d = _unit_pairs(tot).join(shared, ["ua", "ub"], "left")
+    bray = F.lit(1.0) - F.lit(2.0) * F.coalesce("smin", F.lit(0.0)) / (F.col("ta") + F.col("tb"))
     dist = bray if method == "bray" else F.lit(2.0) * bray / (F.lit(1.0) + bray)
     return d.select(F.col("ua").alias(f"{unit}_a"), F.col("ub").alias(f"{unit}_b"), dist.alias("dissimilarity"))
 

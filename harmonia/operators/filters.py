@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harmonia.frame import Result, require_columns
+from harmonia.frame import Result, null_safe_join, require_columns
 from harmonia.functions.exprs import all_of, any_of
 
 DENSITY_COLUMNS = ["Cells_per_mL", "Units_per_mL", "Biovolume_per_mL"]
@@ -62,7 +62,7 @@ def filter_methods(df: DataFrame, corrections: DataFrame, key_cols: list[str],
     """a correction table names which method to keep for a key; rows
     without a correction are kept; others are logged (distinct)."""
     corr = corrections.select(*key_cols, F.col(method_col).alias("__corr"))
-    j = df.join(corr, key_cols, "left")
+    j = null_safe_join(df, corr, key_cols, "left")
     keep = F.col("__corr").isNull() | (F.col(method_col) == F.col("__corr"))
     kept = j.where(keep).drop("__corr")
     removed = j.where(~keep).select(*key_cols, method_col).distinct()

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from harmonia.frame import null_safe_join
 from harmonia.functions.exprs import r_paste_value
 from harmonia.operators.measures import parse_depth
 
@@ -85,7 +86,7 @@ def _range_parts(df: DataFrame, order_cols: list[str]) -> DataFrame:
     the same assignment."""
     from harmonia.session import checkpoint_dir
     checkpoint_dir(df.sparkSession)
-    d = df.repartitionByRange(*[F.col(c).asc_nulls_last() for c in order_cols])
+    d = df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in order_cols])
     return d.withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True)
 
 
@@ -148,4 +149,4 @@ def sampling_freq_grid(df: DataFrame, station: str = "Station", date_col: str =
     if span["y0"] is None:
         return freq.limit(0)
     grid = stations.withColumn("Year", F.explode(F.sequence(F.lit(span["y0"]), F.lit(span["y1"]))))
-    return grid.join(freq, ["Station", "Year"], "left")
+    return null_safe_join(grid, freq, ["Station", "Year"], "left")

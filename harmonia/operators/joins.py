@@ -1,8 +1,7 @@
 """Metadata by date range, lookup joins, natural joins, spatial join.
 
-Metadata and lookup tables are small but not assumed to be: every broadcast
-goes through :func:`broadcast_if_small`, which counts the side first and
-falls back to a shuffle join above the limit.  Date-range metadata is turned
+Metadata and lookup tables are small but not assumed to be: no side is
+hinted, so Spark broadcasts one only below its size threshold.  NULL keys match.  Date-range metadata is turned
 into a per-day candidate table so the join against the (large) data is an
 equi-join on the date, never a nested loop over data x ranges.
 """
@@ -14,18 +13,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harmonia.frame import Result, require_columns
+from harmonia.frame import Result, null_safe_join, require_columns
 
-BROADCAST_MAX_ROWS = 2_000_000
 MAX_POLYGONS = 5_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the side is proven small (a counted bound)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 # --- J1-J4 date-range metadata ---------------------------------------------------
 
 def _meta_days(meta: DataFrame, start: str, end: str, today: str | None) -> DataFrame:
@@ -41,7 +33,7 @@ def from_meta(df: DataFrame, meta: DataFrame, columns: list[str], start: str = "
     covered by several ranges fans out (as in the source).  An open end runs
     to ``today`` (a parameter, so results are reproducible)."""
     days = _meta_days(meta, start, end, today).select(F.col("Date").alias(date_col), *columns)
-    return df.join(broadcast_if_small(days), date_col, "left")
+    return df.join(days, date_col, "left")
 
 
 def _candidates_by_day(meta: DataFrame, start: str, end: str, value_cols: list[str],
@@ -58,7 +50,7 @@ def _candidates_by_day(meta: DataFrame, start: str, end: str, value_cols: list[s
 def _pick(df: DataFrame, cands: DataFrame, date_col: str, value_cols: list[str],
           match_cols: list[str]) -> DataFrame:
     c = cands.withColumnRenamed("Date", "__d")
-    j = df.join(broadcast_if_small(c), df[date_col].cast("date") == F.col("__d"), "left").drop("__d")
+    j = df.join(c, df[date_col].cast("date") == F.col("__d"), "left").drop("__d")
     arr = F.col("__cand")
     if match_cols:
         # NULL in a metadata match column is a wildcard
@@ -127,8 +119,9 @@ def add_lookup(df: DataFrame, lookup: DataFrame, on: list[str], cols: list[str]
     """Left join a lookup; log the distinct keys with no match."""
     cols = cols or [c for c in lookup.columns if c not in on]
     lk = lookup.select(*on, *cols)
-    out = df.drop(*[c for c in cols if c in df.columns]).join(broadcast_if_small(lk), on, "left")
-    missing = df.select(*on).distinct().join(lk.select(*on), on, "left_anti")
+    out = df.drop(*[c for c in cols if c in df.columns])
+    out = null_safe_join(out, lk, on, "left")
+    missing = null_safe_join(df.select(*on).distinct(), lk.select(*on), on, "left_anti")
     return Result(out, {log_name: missing})
 
 
@@ -141,7 +134,7 @@ def rename_by_alias(df: DataFrame, stations: DataFrame, col: str = "Station", si
                        F.col(site).cast("string").alias("__site"), F.col(target).alias("__station"))
                .withColumn("__alias", F.trim("__alias")))
     d = df.withColumn(site, F.col(site).cast("string")).withColumn("__orig", F.col(col))
-    j = d.join(broadcast_if_small(aliases),
+    j = d.join(aliases,
                (F.col(col) == F.col("__alias")) & (F.col(site) == F.col("__site")), "left")
     new = F.when(F.col("__station").isNotNull() & (F.col("__station") != F.col(col)), F.col("__station")) \
         .otherwise(F.col(col))
@@ -156,7 +149,7 @@ def replace_from_lookup(df: DataFrame, fixes: DataFrame, on: list[str], target:
                         source: str) -> Result:
     """Left join, ``target := coalesce(fix, target)``; log changes."""
     fx = fixes.select(*on, F.col(source).alias("__fix"))
-    j = df.join(broadcast_if_small(fx), on, "left")
+    j = null_safe_join(df, fx, on, "left")
     log = j.where(F.col("__fix").isNotNull() & ~F.col("__fix").eqNullSafe(F.col(target))) \
         .select(*on, F.col(target).alias("old"), F.col("__fix").alias("new")).distinct()
     return Result(j.withColumn(target, F.coalesce(F.col("__fix"), F.col(target))).drop("__fix"),

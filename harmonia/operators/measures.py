@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from harmonia.frame import Result
@@ -69,45 +69,35 @@ def parse_depth(x):
             .when(s.rlike(r"^[0-9.]+$"), s.try_cast("double")))
 
 
-# --- exact median without funnelling all values through one task ----------
+# --- exact median -----------------------------------------------------------
 
-def exact_median(df: DataFrame, col: str, bound: int = 1_000_000, accuracy: int = 10_000):
+def exact_median(df: DataFrame, col: str):
     """Exact median (mean of the two middle values) of the non-NULL ``col``.
 
-    Approximate quantile sketches (bounded size) bracket the middle order
-    statistics; each round keeps only the values inside the bracket, so the
-    final exact step sorts at most ``bound`` values.  Only a handful of
-    scalars reach the driver.  Returns None for no data."""
-    x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    n = x.count()
-    if n == 0:
+    Values are counted (partially aggregated), the distinct ones are dealt by
+    range, and one sum per range says which range holds the middle ranks;
+    running counts inside that range give the two values.  Only one count
+    per range and the two values reach the driver.  None for no data."""
+    from harmonia.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    x = F.col(col).cast("double")
+    counts = (df.where(x.isNotNull() & ~F.isnan(x)).groupBy(x.alias("x")).agg(F.count(F.lit(1)).alias("n"))
+              .repartitionByRange("x").withColumn("range", F.spark_partition_id()).checkpoint())
+    sizes = counts.groupBy("range").agg(F.sum("n").alias("n")).orderBy("range").collect()
+    total = sum(r["n"] for r in sizes)
+    if total == 0:
         return None
-    r0, r1 = (n - 1) // 2, n // 2
-    lo_b = hi_b = None
-    offset, size = 0, n
-    sub = x
-    for _ in range(12):
-        if size <= bound:
-            vals = sub.agg(F.sort_array(F.collect_list("x")).alias("v")).first()["v"]
-            return (vals[r0 - offset] + vals[r1 - offset]) / 2.0
-        t0, t1 = (r0 - offset) / size, (r1 - offset) / size
-        eps = 4.0 / accuracy
-        p_lo, p_hi = max(0.0, t0 - eps), min(1.0, t1 + eps)
-        lo, hi = sub.agg(F.percentile_approx("x", [p_lo, p_hi], accuracy).alias("q")).first()["q"]
-        st = sub.agg(F.sum((F.col("x") < lo).cast("long")).alias("below"),
-                     F.sum(((F.col("x") >= lo) & (F.col("x") <= hi)).cast("long")).alias("inside")).first()
-        below, inside = st["below"] or 0, st["inside"] or 0
-        if not (offset + below <= r0 and offset + below + inside > r1):
-            accuracy *= 4  # sketch missed: widen and retry
-            continue
-        if lo == hi:
-            return float(lo)
-        offset += below
-        size = inside
-        lo_b, hi_b = lo, hi
-        sub = sub.where((F.col("x") >= lo_b) & (F.col("x") <= hi_b))
-    vals = sub.agg(F.sort_array(F.collect_list("x")).alias("v")).first()["v"]
-    return (vals[r0 - offset] + vals[r1 - offset]) / 2.0
+    running = F.sum("n").over(Window.partitionBy("range").orderBy("x"))
+    middle = []
+    for rank in sorted({(total - 1) // 2, total // 2}):
+        before = 0
+        for r in sizes:
+            if before + r["n"] > rank:
+                break
+            before += r["n"]
+        middle.append(counts.where(F.col("range") == r["range"]).select("x", running.alias("upto"))
+                      .where(F.col("upto") > rank - before).agg(F.min("x")).first()[0])
+    return sum(middle) / len(middle)
 
 
 def _label(col_name: str) -> str:

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harmonia.frame import ROW_ID, Result, require_columns
+from harmonia.frame import ROW_ID, Result, null_safe_join, require_columns
 from harmonia.functions.exprs import all_of, r_paste_value
 
 # The 33 standard output columns in order.
@@ -140,7 +140,7 @@ def overwrite_from(df: DataFrame, other: DataFrame, on: list[str], fields: dict[
     """Join ``other`` and overwrite ``fields`` (target: source) with the
     joined value where it is present."""
     o = other.select(*on, *[F.col(src).alias(f"__o_{tgt}") for tgt, src in fields.items()])
-    j = df.join(o, on, how)
+    j = null_safe_join(df, o, on, how)
     return j.withColumns({t: F.coalesce(F.col(f"__o_{t}"), F.col(t)) for t in fields}) \
             .drop(*[f"__o_{t}" for t in fields])
 

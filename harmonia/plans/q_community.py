@@ -59,15 +59,15 @@ def a5_community_wide(spark, sf):
 
 
 def _a6_sql(method: str) -> str:
-    bray = "1.0 - 2.0 * sh.smin / (ta.tot + tb.tot)"
+    bray = "1.0 - 2.0 * coalesce(sh.smin, 0.0) / (ta.tot + tb.tot)"
     dist = bray if method == "bray" else f"2.0 * ({bray}) / (1.0 + ({bray}))"
     return with_fixtures(f"""
 WITH x AS (SELECT nation AS u, Taxon AS t, sum(qty) AS v FROM nation_brand GROUP BY ALL HAVING sum(qty) > 0),
 tot AS (SELECT u, sum(v) AS tot FROM x GROUP BY u),
 sh AS (SELECT a.u AS ua, b.u AS ub, sum(least(a.v, b.v)) AS smin FROM x a JOIN x b ON a.t = b.t AND a.u < b.u
        GROUP BY ALL)
-SELECT sh.ua AS nation_a, sh.ub AS nation_b, {rnd(dist, 9)} AS dissimilarity
-FROM sh JOIN tot ta ON ta.u = sh.ua JOIN tot tb ON tb.u = sh.ub
+SELECT ta.u AS nation_a, tb.u AS nation_b, {rnd(dist, 9)} AS dissimilarity
+FROM tot ta JOIN tot tb ON ta.u < tb.u LEFT JOIN sh ON ta.u = sh.ua AND tb.u = sh.ub
 """, "nation_brand")
 
 

@@ -238,7 +238,7 @@ def j10_coalesce_after_join(spark, sf):
     d = fixture(spark, sf, "ev_survey").select("event_id", "Station", "Date", "Latitude", "Longitude")
     w = fixture(spark, sf, "ev_wq").select("Station", "Date", F.col("Latitude").alias("Latitude_y"),
                                             F.col("Longitude").alias("Longitude_y"))
-    j = d.join(J.broadcast_if_small(w), ["Station", "Date"], "left")
+    j = d.join(w, ["Station", "Date"], "left")
     return j.select("event_id", F.coalesce("Latitude_y", "Latitude").alias("Latitude"),
                     F.coalesce("Longitude_y", "Longitude").alias("Longitude"))
 

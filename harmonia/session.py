@@ -57,6 +57,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = spark.sparkContext._jsc.sc().getCheckpointDir()
         d = d.get() if d.isDefined() else None
     if not d:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="harmonia-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -146,10 +146,38 @@ def test_exact_median_bracketing_matches_numpy(spark):
     vals = [rnd.lognormvariate(0, 2) for _ in range(5001)] + [None] * 10
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     arr = np.array([v for v in vals if v is not None])
-    for bound in (100, 10_000_000):                              # force the bracketing loop, then direct
-        assert M.exact_median(df, "x", bound=bound) == pytest.approx(float(np.median(arr)), rel=0, abs=0)
-    df2 = spark.createDataFrame([(float(v),) for v in range(10)], "x double")
-    assert M.exact_median(df2, "x", bound=3) == 4.5
+    assert M.exact_median(df, "x") == pytest.approx(float(np.median(arr)), rel=0, abs=0)
+    for vals in (range(10), [0.0] * 500 + [1.0] * 500, [3.0], [1.0] * 400 + [2.0, 5.0, 5.0]):
+        df2 = spark.createDataFrame([(float(v),) for v in vals], "x double")
+        assert M.exact_median(df2, "x") == float(np.median(list(vals)))
+    assert M.exact_median(df2.limit(0), "x") is None
+
+
+def test_null_keys_match_in_lookups(spark):
+    from harmonia.operators import filters, grids, joins, project
+    df = spark.createDataFrame([(None, 1, "a"), ("x", 2, "b")], "k string, v int, m string")
+    lk = spark.createDataFrame([(None, 10), ("x", 20)], "k string, w int")
+    res = joins.add_lookup(df, lk, ["k"])
+    assert sorted(r.w for r in res.df.collect()) == [10, 20] and res.logs["missing_lookup"].count() == 0
+    assert sorted(r.v for r in joins.replace_from_lookup(df, lk, ["k"], "v", "w").df.collect()) == [10, 20]
+    assert sorted(r.v for r in project.overwrite_from(df, lk, ["k"], {"v": "w"}).collect()) == [10, 20]
+    corr = spark.createDataFrame([(None, "zzz")], "k string, m string")
+    assert [r.k for r in filters.filter_methods(df, corr, ["k"], "m").df.collect()] == ["x"]
+
+
+def test_dissimilarity_has_disjoint_pairs(spark):
+    from harmonia.operators import community
+    long = spark.createDataFrame([("a", "t", 1.0), ("b", "t", 1.0), ("c", "z", 2.0)], "u string, Taxon string, value double")
+    got = {(r.u_a, r.u_b): r.dissimilarity for r in community.dissimilarity(long, "u").collect()}
+    assert got == {("a", "b"): 0.0, ("a", "c"): 1.0, ("b", "c"): 1.0}
+
+
+def test_single_row_named_unknown_meets_relabelled_rows(spark):
+    from harmonia.operators.combine import combine_taxa
+    rows_ = [("d", "s", "Genus sp", "x", "P", "K", 1.0), ("d", "s", "Genus sp", "y", "P", "K", 2.0), ("d", "s", "Unknown x", "x", "P", "K", 4.0)]
+    df = spark.createDataFrame(rows_, "Date string, Station string, Taxon string, Class string, Phylum string, Kingdom string, Units_per_mL double")
+    got = combine_taxa(df, order_cols=["Taxon", "Class"]).df.collect()
+    assert sorted((r.Taxon, r.Units_per_mL) for r in got) == [("Unknown x", 5.0), ("Unknown y", 2.0)]
 
 
 def test_remove_nodata_null_taxon_dropped_not_logged(spark):
