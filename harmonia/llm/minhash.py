@@ -45,7 +45,7 @@ Z = 6.0
 #: A block holds about this many documents or shingles, whichever is reached first.
 BLOCK_ROWS, BLOCK_SHINGLES = 2048, 1_500_000
 #: Word hashes kept per worker; the table is emptied when it is full.
-MAX_WORDS = 1_000_000
+MAX_WORDS = 300_000
 
 _rng = np.random.default_rng(3)
 _A = _rng.integers(0, 2**31, HASHES, np.uint32) * np.uint32(2) + np.uint32(1)

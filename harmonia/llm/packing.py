@@ -39,7 +39,7 @@ CLOSING = 0
 #: Pieces per shard on average.
 SHARD_ROWS = 20_000
 #: Encoded words kept per worker; the table is emptied when it is full.
-MAX_WORDS = 800_000
+MAX_WORDS = 300_000
 #: Fixed value: the byte-level pattern, and the same for texts below U+0100.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LATIN = re.compile(PATTERN.replace(r"[^\s\p{L}\p{N}]", f"[^{LATIN_S}{LATIN_L}{LATIN_N}]").replace(r"\p{L}", f"[{LATIN_L}]")

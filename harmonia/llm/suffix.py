@@ -41,9 +41,9 @@ GRAM = 24
 #: Windows per segment at most (a place inside it fits a byte).
 MAX_WINDOWS = 256
 #: Segments that a task collects before it collapses equal ones.
-COLLAPSE_ROWS = 2_000_000
+COLLAPSE_ROWS = 600_000
 #: Symbols sorted together; a key with more is sorted alone, from a mapped file.
-BATCH_SYMBOLS = 3_000_000
+BATCH_SYMBOLS = 1_500_000
 NULL_ID = -(1 << 63)
 
 _P = np.random.default_rng(7).integers(0, 2**63, 16, np.uint64) * np.uint64(2) + np.uint64(1)
