@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from harmonia.frame import null_safe_join
+
 
 def write_csv(df: DataFrame, path: str, na: str = "", mode: str = "overwrite") -> None:
     """CSV with a header; NULL written as ``na`` (empty by default)."""
@@ -22,10 +24,11 @@ def write_log(log: DataFrame | None, path: str) -> bool:
 def write_by_key(df: DataFrame, path: str, key: str = "Survey", keep_key: bool = True,
                  fmt: str = "csv") -> None:
     """One folder per key value (``partitionBy``).  With ``keep_key`` the
-    key is also kept inside the files, as the per-program CSVs do."""
+    key is also kept inside the files, as the per-program CSVs do.  Rows are
+    gathered by key, and a large key is split over several tasks and files."""
     out = df.withColumn(f"__part_{key}", F.col(key)) if keep_key else df
     part = f"__part_{key}" if keep_key else key
-    w = out.repartition(part).write.mode("overwrite").partitionBy(part)
+    w = out.hint("rebalance", F.col(part)).write.mode("overwrite").partitionBy(part)
     if fmt == "csv":
         w.option("header", True).option("nullValue", "").csv(path)
     else:
@@ -39,48 +42,28 @@ def write_program(df: DataFrame, path: str) -> None:
 
 def matrix_export(meta: DataFrame, com_long: DataFrame, sample_cols: list[str], taxa_var: str = "Taxon",
                   value: str = "value", title: str = "Environmental variables",
-                  meta_as_factors: bool = True, max_samples: int = 5_000) -> DataFrame:
+                  meta_as_factors: bool = True) -> DataFrame:
     """Samples as columns (``R1..Rn`` in sample order): a title row, the
     sample-id row, one row per taxon, a blank row, then one row per metadata
-    variable.  Built long (row_order, variable, sample_id, value) and pivoted
-    with an explicit, bounded sample list.  Errors when metadata and matrix
-    disagree on the samples."""
+    variable.  Built long (block, variable, sample, value) and pivoted; the
+    samples are numbered in Spark and matched on their columns, NULLs
+    included.  Errors when metadata and matrix disagree on the samples."""
     samples = meta.select(*sample_cols).distinct()
-    n_meta = samples.count()
-    n_com = com_long.select(*sample_cols).distinct().count()
-    if n_meta != n_com:
+    numbered = samples.withColumn("__sid", F.concat(F.lit("R"), F.row_number().over(Window.orderBy(*sample_cols))))
+    found = com_long.select(*sample_cols).distinct()
+    n = samples.count()
+    if n != found.count() or n != null_safe_join(found, samples, sample_cols, "left_semi").count():
         raise ValueError("metadata and community matrix must have the same samples")
-    if n_meta > max_samples:
-        raise ValueError(f"{n_meta} samples exceed max_samples={max_samples}")
-    order = [r for r in samples.orderBy(*sample_cols).collect()]
-    ids = [f"R{i + 1}" for i in range(len(order))]
-    key = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in sample_cols])
-    idmap = meta.sparkSession.createDataFrame(
-        [("\u0001".join("" if r[c] is None else str(r[c]) for c in sample_cols), i) for r, i in zip(order, ids)],
-        "k string, sample_id string")
-    com = (com_long.withColumn("k", key).join(F.broadcast(idmap), "k")
-                   .select(F.lit(2).alias("block"), F.col(taxa_var).cast("string").alias("Variable"),
-                           "sample_id", F.col(value).cast("string").alias("v")))
-    parts = [com]
-    if meta_as_factors:
-        mcols = [c for c in meta.columns if c not in sample_cols]
-        m = meta.withColumn("k", key).join(F.broadcast(idmap), "k") \
-            .select("sample_id", *[F.col(c).cast("string").alias(c) for c in mcols])
-        long = m.unpivot(["sample_id"], mcols, "Variable", "v") if mcols else None
-        if long is not None:
-            parts.append(long.select(F.lit(4).alias("block"), "Variable", "sample_id", F.col("v").cast("string")))
-    body = parts[0]
-    for p in parts[1:]:
-        body = body.unionByName(p)
-    wide = body.groupBy("block", "Variable").pivot("sample_id", ids).agg(F.first("v"))
-    spark = meta.sparkSession
-    title_row = spark.createDataFrame([(0, title)] , "block int, Variable string")
-    id_row = spark.createDataFrame([(1, None)], "block int, Variable string")
-    for i in ids:
-        title_row = title_row.withColumn(i, F.lit(""))
-        id_row = id_row.withColumn(i, F.lit(i))
-    blank = spark.createDataFrame([(3, "")], "block int, Variable string")
-    for i in ids:
-        blank = blank.withColumn(i, F.lit(""))
-    return title_row.unionByName(id_row).unionByName(wide.withColumn("block", F.col("block").cast("int"))) \
-        .unionByName(blank).orderBy("block", "Variable")
+    ids = [f"R{i + 1}" for i in range(n)]
+    body = null_safe_join(com_long, numbered, sample_cols).select(
+        F.lit(2).alias("block"), F.col(taxa_var).cast("string").alias("Variable"), "__sid",
+        F.col(value).cast("string").alias("v"))
+    mcols = [c for c in meta.columns if c not in sample_cols]
+    if meta_as_factors and mcols:
+        m = null_safe_join(meta, numbered, sample_cols).select("__sid", *[F.col(c).cast("string").alias(c) for c in mcols])
+        body = body.unionByName(m.unpivot(["__sid"], mcols, "Variable", "v")
+                                 .select(F.lit(4).alias("block"), "Variable", "__sid", "v"))
+    wide = body.groupBy("block", "Variable").pivot("__sid", ids).agg(F.first("v"))
+    heads = meta.sparkSession.createDataFrame([(0, title), (1, None), (3, "")], "block int, Variable string")
+    heads = heads.select("block", "Variable", *[F.when(F.col("block") == 1, i).otherwise("").alias(i) for i in ids])
+    return heads.unionByName(wide).orderBy("block", "Variable")

@@ -4,6 +4,8 @@ import json
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,6 +86,31 @@ def test_matrix_export_layout(spark):
     assert body["A"] == ("1.0", "2.0") and body["B"] == (None, "3.0") and body["Season"] == ("wet", "dry")
 
 
+def test_matrix_export_keeps_cells_of_odd_sample_ids(spark):
+    ids = [(0.00001, True), (None, False), (2.0, None)]
+    meta = spark.createDataFrame([(*i, f"m{k}") for k, i in enumerate(ids)], "x double, b boolean, Season string")
+    com = spark.createDataFrame([(*i, "A", float(k)) for k, i in enumerate(ids)], "x double, b boolean, Taxon string, value double")
+    rows = {r["Variable"]: r for r in SK.matrix_export(meta, com, ["x", "b"]).collect()}
+    assert [rows["A"][f"R{i}"] for i in (1, 2, 3)] == ["1.0", "0.0", "2.0"]  # NULL id first
+    assert [rows["Season"][f"R{i}"] for i in (1, 2, 3)] == ["m1", "m0", "m2"]
+    other = spark.createDataFrame([(5.0, True, "A", 1.0), (None, False, "A", 1.0), (2.0, None, "A", 1.0)], com.schema)
+    with pytest.raises(ValueError):
+        SK.matrix_export(meta, other, ["x", "b"])
+
+
+def test_write_by_key_splits_a_hot_key(spark):
+    df = spark.range(0, 400_000).select(F.lit("S1").alias("Survey"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        d = os.path.join(_tmp(), "t")
+        SK.write_by_key(df, d, "Survey", fmt="parquet")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    files = [f for _, _, names in os.walk(d) for f in names if f.endswith(".parquet")]
+    assert len(files) > 1 and spark.read.parquet(d).count() == 400_000
+
+
 def test_incremental_ingest_processes_each_file_once(spark):
     src, out, ck = _tmp(), _tmp(), _tmp()
     schema = T.StructType([T.StructField("Taxon", T.StringType()), T.StructField("Comments", T.StringType()),
