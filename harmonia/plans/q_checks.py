@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from harmonia.functions import timefn as T
 from harmonia.operators import checks as CK
+from harmonia.operators import reshape as RS
 from harmonia.plans.catalog import query
 from harmonia.plans.fixtures import FIXTURES, fixture, load, with_fixtures
 from harmonia.plans.q_project import rnd
@@ -421,14 +422,14 @@ def c27_duplicate_ids(spark, sf):
 
 
 @query("c28_station_set_difference", """
-SELECT l_suppkey FROM lineitem WHERE l_returnflag = 'R' AND l_shipdate < TIMESTAMP '1996-01-01'
-EXCEPT SELECT l_suppkey FROM lineitem WHERE l_returnflag = 'A' AND l_shipdate < TIMESTAMP '1996-01-01'
+SELECT l_suppkey, l_partkey FROM lineitem WHERE l_returnflag = 'R'
+EXCEPT SELECT l_suppkey, l_partkey FROM lineitem WHERE l_returnflag <> 'R' OR l_returnflag IS NULL
 """)
 def c28_station_set_difference(spark, sf):
-    li = load(spark, sf, "lineitem").where(F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
-    a = li.where(F.col("l_returnflag") == "R").select("l_suppkey")
-    b = li.where(F.col("l_returnflag") == "A").select("l_suppkey")
-    return a.subtract(b)
+    """Stations (supplier and part) of one survey that no other survey visits."""
+    li = load(spark, sf, "lineitem")
+    own = F.col("l_returnflag").eqNullSafe("R")
+    return RS.set_difference(li.where(own).select("l_suppkey", "l_partkey"), li.where(~own).select("l_suppkey", "l_partkey"))
 
 
 @query("c29_row_count_conserved", """
