@@ -24,16 +24,6 @@ def sum_strict(x) -> Column:
     return F.when(F.count(x) == F.count(F.lit(1)), F.sum(x))
 
 
-def sum_na_zero(x) -> Column:
-    """R ``sum(x, na.rm=TRUE)``: 0 for an all-NULL group."""
-    return F.coalesce(F.sum(C(x)), F.lit(0.0))
-
-
-def sum_or_null(x) -> Column:
-    """NULL if every input is NULL, else the sum of the non-NULL ones."""
-    return F.sum(C(x))
-
-
 # --- numbers ---------------------------------------------------------------
 
 def signif(x, digits: int = 4) -> Column:
@@ -52,10 +42,6 @@ def signif(x, digits: int = 4) -> Column:
             .otherwise(F.round(x / down) * down))
 
 
-def safe_div(a, b) -> Column:
-    return F.try_divide(C(a), C(b))
-
-
 def row_mean(cols) -> Column:
     """Mean of the non-NULL values among ``cols`` (R ``rowMeans(na.rm=TRUE)``);
     NULL when all are NULL (R gives NaN)."""
@@ -71,21 +57,11 @@ def squish(x) -> Column:
     return F.regexp_replace(F.regexp_replace(C(x), r"^\s+|\s+$", ""), r"\s+", " ")
 
 
-def blank_to_null(x) -> Column:
-    x = C(x)
-    return F.when(x == "", None).otherwise(x)
-
-
 def r_paste_value(x) -> Column:
     """How R ``paste`` prints a value: NULL becomes the text ``NA``."""
     return F.coalesce(C(x).cast("string"), F.lit("NA"))
 
 
-def sentence_case(x) -> Column:
-    x = C(x)
-    return F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, 2, 1 << 30)))
-
-
 # Latin letters with diacritics and their ASCII base letter,
 # used for ASCII folding ("iconv ... ASCII//TRANSLIT" in the reference).
 FOLD_FROM = "ÀÁÂÃÄÅàáâãäåÇçÈÉÊËèéêëÌÍÎÏìíîïÑñÒÓÔÕÖØòóôõöøÙÚÛÜùúûüÝýÿ"
@@ -104,12 +80,3 @@ def any_of(conds) -> Column:
 def all_of(conds) -> Column:
     conds = list(conds)
     return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
-
-
-def null_safe_eq(left_cols, right_cols) -> Column:
-    return all_of(l.eqNullSafe(r) for l, r in zip(left_cols, right_cols))
-
-
-def join_codes(parts, sep: str = " ") -> Column:
-    """``tidyr::unite(na.rm=TRUE)``: join the non-NULL parts; '' if none."""
-    return F.concat_ws(sep, *parts)
