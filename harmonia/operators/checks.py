@@ -33,8 +33,8 @@ def _semi_ns(left: DataFrame, keys: DataFrame, cols: list[str], how: str = "left
 def validate_file(df: DataFrame, schema: dict) -> DataFrame:
     """Findings (column, error) for a declared schema
     ``{col: {type, required, min, max, allowed_values}}``: missing required
-    columns, non-integer values in integer columns, non-text columns declared
-    character, values below min / above max, values outside allowed_values.
+    columns, non-numeric values in columns declared integer (fractions pass, as
+    only numbers are asked for), non-text columns declared character, values below min / above max, values outside allowed_values.
     All value checks run in ONE aggregation pass."""
     spark = df.sparkSession
     found = []
@@ -47,16 +47,15 @@ def validate_file(df: DataFrame, schema: dict) -> DataFrame:
         c = F.col(name)
         typ = spec.get("type")
         dtype = dict(df.dtypes)[name]
+        num = c.cast("string").try_cast("double")
         if typ == "integer":
-            asnum = c.cast("string").try_cast("double")
-            bad = c.isNotNull() & (asnum.isNull() | (asnum != F.floor(asnum)))
-            aggs.append(F.max(bad).alias(f"{name}\x00not integer"))
+            aggs.append(F.max(c.isNotNull() & num.isNull()).alias(f"{name}\x00not numeric"))
         if typ == "character" and dtype != "string":
             found.append((name, "not character"))
         if "min" in spec:
-            aggs.append(F.max(c.cast("double") < spec["min"]).alias(f"{name}\x00below min"))
+            aggs.append(F.max(num < spec["min"]).alias(f"{name}\x00below min"))
         if "max" in spec:
-            aggs.append(F.max(c.cast("double") > spec["max"]).alias(f"{name}\x00above max"))
+            aggs.append(F.max(num > spec["max"]).alias(f"{name}\x00above max"))
         if spec.get("allowed_values"):
             ok = c.isin(*spec["allowed_values"])
             aggs.append(F.max(c.isNotNull() & ~ok).alias(f"{name}\x00not allowed"))

@@ -62,6 +62,7 @@ C1_SCHEMA = {
     "l_quantity": {"type": "integer", "required": True, "min": 1, "max": 45},
     "l_discount": {"type": "numeric", "required": True, "min": 0.0, "max": 0.1},
     "l_tax": {"type": "integer", "required": True},
+    "l_linestatus": {"type": "integer", "required": True},
     "l_returnflag": {"type": "character", "required": True, "allowed_values": ["A", "N"]},
     "l_linenumber": {"type": "character", "required": True},
     "l_comment": {"type": "character", "required": True},
@@ -72,12 +73,11 @@ C1_SCHEMA = {
 @query("c1_validate_file", """
 SELECT 'l_comment' AS "column", 'missing required column' AS error
 UNION ALL SELECT 'l_linenumber', 'not character'
-UNION ALL SELECT 'l_quantity', 'not integer' FROM lineitem HAVING bool_or(l_quantity <> floor(l_quantity))
 UNION ALL SELECT 'l_quantity', 'below min' FROM lineitem HAVING bool_or(l_quantity < 1)
 UNION ALL SELECT 'l_quantity', 'above max' FROM lineitem HAVING bool_or(l_quantity > 45)
 UNION ALL SELECT 'l_discount', 'below min' FROM lineitem HAVING bool_or(l_discount < 0)
 UNION ALL SELECT 'l_discount', 'above max' FROM lineitem HAVING bool_or(l_discount > 0.1)
-UNION ALL SELECT 'l_tax', 'not integer' FROM lineitem HAVING bool_or(l_tax <> floor(l_tax))
+UNION ALL SELECT 'l_linestatus', 'not numeric' FROM lineitem HAVING bool_or(l_linestatus IS NOT NULL AND TRY_CAST(l_linestatus AS DOUBLE) IS NULL)
 UNION ALL SELECT 'l_returnflag', 'not allowed' FROM lineitem HAVING bool_or(l_returnflag NOT IN ('A', 'N'))
 """)
 def c1_validate_file(spark, sf):

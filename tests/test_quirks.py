@@ -299,3 +299,11 @@ def test_simper_permutation_p_values(spark):
     assert a == b                                                 # seeded: reproducible
     assert all(0 < p <= 1 for p in a.values())
     assert a["t0"] <= 0.05                                        # the separating taxon
+
+
+def test_validate_file_accepts_fractions_and_finds_text(spark):
+    from harmonia.operators import checks as CK
+    df = spark.createDataFrame([(1.5, "2.5", "7"), (None, None, "x")], "a double, b string, c string")
+    schema = {k: {"type": "integer", "min": 2} for k in "abc"}
+    found = sorted(tuple(r) for r in CK.validate_file(df, schema).collect())
+    assert found == [("a", "below min"), ("c", "not numeric")]
