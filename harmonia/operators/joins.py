@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from harmonia.frame import Result, null_safe_join, require_columns
 
-MAX_POLYGONS = 5_000
+TILES_PER_SIDE = 1024
 
 
 # --- J1-J4 date-range metadata ---------------------------------------------------
@@ -192,26 +192,28 @@ def assign_region(df: DataFrame, polygons: DataFrame, lon: str = "Longitude", la
                   keep: tuple[str, ...] = ("Region", "SubRegion"), order: str = "poly_idx") -> DataFrame:
     """Each point gets the first polygon (in ``order``) containing it;
     points outside every polygon are dropped.  ``polygons`` holds closed
-    vertex arrays ``xs``/``ys`` (first vertex repeated last); a bounding-box
-    test prunes before the exact ray cast.  The polygon set is bounded
-    (checked) and shipped inside the plan as a literal array, so the data
-    is never shuffled or joined."""
-    n = polygons.limit(MAX_POLYGONS + 1).count()
-    if n > MAX_POLYGONS:
-        raise ValueError(f"more than {MAX_POLYGONS} polygons; tile them and join by tile instead")
-    rows = polygons.select(order, *keep, "xs", "ys").orderBy(order).collect()
-
-    def lit_poly(r):
-        xs = [float(v) for v in r["xs"]]
-        ys = [float(v) for v in r["ys"]]
-        return F.struct(*[F.lit(r[k]).alias(k) for k in keep],
-                        F.array(*[F.lit(v) for v in xs]).alias("xs"),
-                        F.array(*[F.lit(v) for v in ys]).alias("ys"),
-                        F.lit(min(xs)).alias("x0"), F.lit(max(xs)).alias("x1"),
-                        F.lit(min(ys)).alias("y0"), F.lit(max(ys)).alias("y1"))
-
-    j = df.withColumn("__polys", F.array(*[lit_poly(r) for r in rows]))
-    px, py = F.col(lon), F.col(lat)
+    vertex arrays ``xs``/``ys`` (first vertex repeated last).  Every polygon
+    is listed under the tiles that its bounding box touches; points meet the
+    polygons of their tile in an equi-join, then a bounding-box test prunes
+    before the exact ray cast.  Tiles are as large as an average box, and at
+    least 1/``TILES_PER_SIDE`` of the whole extent."""
+    box = polygons.select(F.struct(
+        F.col(order).alias("__o"), *keep, F.col("xs").cast("array<double>").alias("xs"),
+        F.col("ys").cast("array<double>").alias("ys"), F.array_min("xs").cast("double").alias("x0"),
+        F.array_max("xs").cast("double").alias("x1"), F.array_min("ys").cast("double").alias("y0"),
+        F.array_max("ys").cast("double").alias("y1")).alias("p"))
+    size = box.agg(F.avg(F.expr("p.x1 - p.x0")), F.expr("max(p.x1) - min(p.x0)"),
+                   F.avg(F.expr("p.y1 - p.y0")), F.expr("max(p.y1) - min(p.y0)")).first()
+    w, h = (max(avg or 0.0, (extent or 0.0) / TILES_PER_SIDE) or 1.0 for avg, extent in (size[:2], size[2:]))
+
+    def tile(v, side):
+        return F.floor(v / F.lit(side)).cast("bigint")
+
+    tiles = (box.withColumn("__tx", F.explode(F.sequence(tile(F.col("p.x0"), w), tile(F.col("p.x1"), w))))
+             .withColumn("__ty", F.explode(F.sequence(tile(F.col("p.y0"), h), tile(F.col("p.y1"), h))))
+             .groupBy("__tx", "__ty").agg(F.array_sort(F.collect_list("p")).alias("__polys")))
+    px, py = F.col(lon).cast("double"), F.col(lat).cast("double")
+    j = df.withColumns({"__tx": tile(px, w), "__ty": tile(py, h)}).join(tiles, ["__tx", "__ty"])
 
     def hit(p):
         box = (px >= p["x0"]) & (px <= p["x1"]) & (py >= p["y0"]) & (py <= p["y1"])
@@ -219,4 +221,4 @@ def assign_region(df: DataFrame, polygons: DataFrame, lon: str = "Longitude", la
 
     first = F.try_element_at(F.filter(F.col("__polys"), hit), F.lit(1))
     out = j.withColumn("__hit", first).where(F.col("__hit").isNotNull())
-    return out.withColumns({k: F.col("__hit")[k] for k in keep}).drop("__polys", "__hit")
+    return out.withColumns({k: F.col("__hit")[k] for k in keep}).drop("__tx", "__ty", "__polys", "__hit")

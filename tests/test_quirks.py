@@ -307,3 +307,25 @@ def test_validate_file_accepts_fractions_and_finds_text(spark):
     schema = {k: {"type": "integer", "min": 2} for k in "abc"}
     found = sorted(tuple(r) for r in CK.validate_file(df, schema).collect())
     assert found == [("a", "below min"), ("c", "not numeric")]
+
+
+def test_regions_over_many_tiles_match_brute_force(spark):
+    import random
+
+    from harmonia.operators.joins import assign_region
+    rnd = random.Random(5)
+    boxes = [(i, rnd.uniform(-9, 9), rnd.uniform(-9, 9), rnd.choice([0.2, 1.0, 6.0])) for i in range(60)]
+    polys = spark.createDataFrame(
+        [(i, f"r{i}", f"s{i}", [x, x + d, x + d, x, x], [y, y, y + d, y + d, y]) for i, x, y, d in boxes],
+        "poly_idx int, Region string, SubRegion string, xs array<double>, ys array<double>")
+    pts = [(k, rnd.uniform(-10, 16), rnd.uniform(-10, 16)) for k in range(500)] + [(500, None, 1.0), (501, 99.0, float("inf"))]
+    df = spark.createDataFrame(pts, "k int, Longitude double, Latitude double")
+    want = {}
+    for k, px, py in pts:
+        hits = [i for i, x, y, d in boxes if px is not None and x < px < x + d and y < py < y + d]
+        if hits:
+            want[k] = f"r{hits[0]}"
+    out = assign_region(df, polys)
+    assert out.columns == ["k", "Longitude", "Latitude", "Region", "SubRegion"]
+    assert {r["k"]: r["Region"] for r in out.collect()} == want
+    assert assign_region(df, polys.limit(0)).count() == 0
