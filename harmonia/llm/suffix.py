@@ -8,13 +8,17 @@ A byte goes if a ``length``-byte string that covers it also starts earlier
    keys wherever they are.  Consecutive windows of one key form a segment
    (about 40 windows).  Equal segments collapse, first inside a task, then
    by key; of these only the first has windows that can be first occurrences.
-2. Keys with different segments, or with a segment that may repeat inside
+2. A key whose different segments have more than ``MAX_SHARD`` bytes is split
+   again, by the 128-bit fingerprint of the whole window: what then meets is
+   equal, so nothing of it is left to sort.  Later windows are found inside
+   the task first; only the first of each goes on to its key.
+3. Other keys with different segments, or with a segment that may repeat inside
    itself, are sorted: their segments' texts form the strings of a shard,
    and ``induced.suffix_order`` sorts all suffixes with disk-backed
    priority queues through recursive induction.  Neighbours in this order
    that share a prefix of ``length`` bytes are equal windows; all but the
    smallest place of a class are later ones.
-3. The bytes under later windows are merged by document and removed.
+4. The bytes under later windows are merged by document and removed.
 
 Cases: null text counts as empty; texts shorter than ``length`` are kept
 whole; matches never cross documents; a null document id counts as the
@@ -42,9 +46,13 @@ GRAM = 24
 MAX_WINDOWS = 256
 #: Segments that a task collects before it collapses equal ones.
 COLLAPSE_ROWS = 600_000
-#: Symbols sorted together; a key with more is sorted alone, from a mapped file.
+#: Symbols sorted together.
 BATCH_SYMBOLS = 1_500_000
+#: Bytes of different segments above which a key is split by window fingerprints.
+MAX_SHARD = 1_000_000
 NULL_ID = -(1 << 63)
+#: What becomes of a segment: cut as a copy, sorted, or split into its windows.
+COPY, SORT, SPLIT = 0, 1, 2
 
 _P = np.random.default_rng(7).integers(0, 2**63, 16, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -132,37 +140,91 @@ def _scan(docs: DataFrame, length: int) -> DataFrame:
                                 "more array<struct<d:bigint,p:bigint>>")
 
 
+def _ranges_of(d: np.ndarray, p: np.ndarray, length: int) -> pa.RecordBatch:
+    """Rows ``d, cuts`` of the shard schema for the windows at ``d, p``, in order of their places."""
+    new = np.concatenate(([True], (d[1:] != d[:-1]) | (p[1:] > p[:-1] + length)))
+    last = np.concatenate((new[1:], [True]))
+    cuts = pa.StructArray.from_arrays([pa.array(p[new]), pa.array(p[last] + length)], ["a", "b"])
+    doc = d[new]
+    at = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
+    return _shard_rows(doc[at], doc[at], np.zeros(len(at), np.int64), cuts=pa.ListArray.from_arrays(
+        np.concatenate((at, [len(doc)])).astype(np.int32), cuts))
+
+
+def _shard_rows(h, d, p, n=None, text=None, cuts=None, g=None) -> pa.RecordBatch:
+    rows = len(h)
+    cols = [pa.array(h, pa.int64()), pa.array(d, pa.int64()), pa.array(p, pa.int64()), pa.array(n, pa.int32()) if n is not None else None,
+            pa.array(text, pa.binary()) if text is not None else None, cuts, pa.array(g, pa.int64()) if g is not None else None]
+    return pa.RecordBatch.from_arrays([pa.nulls(rows, k) if c is None else c for c, k in zip(cols, SHARD_TYPES)], names=SHARD_NAMES)
+
+
+SHARD_NAMES = ["h", "d", "p", "n", "text", "cuts", "g"]
+SHARD_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(),
+               pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])), pa.int64()]
+
+
+def _split_windows(raw: bytes, p: np.ndarray, n: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and 128-bit fingerprints (two columns) of all windows of the segments."""
+    at = np.repeat(p - np.cumsum(n) + n, n) + np.arange(n.sum())
+    view = memoryview(raw)
+    prints = b"".join([xxhash.xxh3_128_digest(view[x:x + length]) for x in at.tolist()])
+    return at, np.frombuffer(prints, np.int64).reshape(-1, 2)
+
+
+def _firsts(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], length: int) -> Iterator[pa.RecordBatch]:
+    """The first of equal windows as rows ``h, g, d, p``, the others as ranges."""
+    d, p, w = (np.concatenate(c) for c in zip(*held))
+    order = np.lexsort((p, d, w[:, 1], w[:, 0]))
+    d, p, w = d[order], p[order], w[order]
+    new = np.concatenate(([True], (w[1:] != w[:-1]).any(1)))
+    yield _shard_rows(w[new, 0], d[new], p[new], g=w[new, 1])
+    if not new.all():
+        d, p = d[~new], p[~new]
+        order = np.lexsort((p, d))
+        yield _ranges_of(d[order], p[order], length)
+
+
 def _texts(docs: DataFrame, marked: DataFrame, length: int) -> DataFrame:
-    """Texts of the segments to sort, ``h, d, p, n, text``, cut out of their documents.
+    """What goes to the shards, ``h, d, p, n, text, cuts, g``.
 
-    ``marked``: ``d, h, p, n, sort``.  Segments that are copies of earlier
-    ones need no text; their merged byte ranges pass as one row per document
-    with the ranges in ``cuts``.
+    ``marked``: ``d, h, p, n, kind``.  Segments of kind ``SORT`` get their
+    text, cut out of their documents; the windows of kind ``SPLIT`` pass by
+    their fingerprint ``h, g``.  Segments of kind ``COPY`` are copies of
+    earlier ones and need no text; their merged byte ranges pass as one row
+    per document with the ranges in ``cuts``.
     """
-    lists = marked.groupBy("d").agg(F.collect_list(F.struct("h", "p", "n", "sort")).alias("segs"))
+    lists = marked.groupBy("d").agg(F.collect_list(F.struct("h", "p", "n", "kind")).alias("segs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, windows = [], 0
         for batch in batches:
             for d, t, segs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                   batch.column(batch.num_columns - 1)):
                 raw = t.encode() if t else b""
-                h, p, n, sort = (segs.values.field(i).to_numpy(zero_copy_only=False) for i in range(4))
-                at = np.flatnonzero(sort)
-                text = [raw[x:x + k + length - 1] for x, k in zip(p[at].tolist(), n[at].tolist())]
-                a, b = merge_ranges(p[~sort], p[~sort] + n[~sort] + length - 1, len(raw)) if len(at) < len(p) else ([], [])
-                extra = [[{"a": int(x), "b": int(y)} for x, y in zip(a, b)]] if len(a) else []
-                rows = len(at) + len(extra)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([*h[at].tolist(), *[d] * len(extra)], pa.int64()), pa.array([d] * rows, pa.int64()),
-                     pa.array([*p[at].tolist(), *[0] * len(extra)], pa.int64()),
-                     pa.array([*n[at].tolist(), *[0] * len(extra)], pa.int32()),
-                     pa.array([*text, *[None] * len(extra)], pa.binary()),
-                     pa.array([*[None] * len(at), *extra], pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))],
-                    names=["h", "d", "p", "n", "text", "cuts"])
+                h, p, n, kind = (segs.values.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+                at = np.flatnonzero(kind == SORT)
+                if len(at):
+                    text = [raw[x:x + k + length - 1] for x, k in zip(p[at].tolist(), n[at].tolist())]
+                    yield _shard_rows(h[at], np.full(len(at), d, np.int64), p[at], n[at], text)
+                at = np.flatnonzero(kind == COPY)
+                if len(at):
+                    a, b = merge_ranges(p[at], p[at] + n[at] + length - 1, len(raw))
+                    cuts = pa.StructArray.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                    yield _shard_rows([d], [d], [0], cuts=pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), cuts))
+                at = np.flatnonzero(kind == SPLIT)
+                if len(at):
+                    place, prints = _split_windows(raw, p[at], n[at].astype(np.int64), length)
+                    held.append((np.full(len(place), d, np.int64), place, prints))
+                    windows += len(place)
+                    if windows >= COLLAPSE_ROWS:
+                        yield from _firsts(held, length)
+                        held, windows = [], 0
+        if held:
+            yield from _firsts(held, length)
 
     # no column is pruned here, so that the last join can read the same exchange of the documents
     return docs.join(lists, "d").mapInArrow(
-        run, "h bigint, d bigint, p bigint, n int, text binary, cuts array<struct<a:bigint,b:bigint>>")
+        run, "h bigint, d bigint, p bigint, n int, text binary, cuts array<struct<a:bigint,b:bigint>>, g bigint")
 
 
 def later_windows(text: list[bytes], count: np.ndarray, group: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -210,7 +272,8 @@ def later_windows(text: list[bytes], count: np.ndarray, group: np.ndarray, lengt
 
 
 def _sorted(segs: DataFrame, length: int) -> DataFrame:
-    """Byte ranges ``d, a, b`` under windows that are equal to earlier ones, from segments with texts."""
+    """Byte ranges ``d, a, b`` under windows that are equal to earlier ones, from segments with texts
+    and from the windows of split keys."""
     def work(held: list[pa.Table]) -> pa.RecordBatch | None:
         t = pa.concat_tables(held)
         h, d, p, n = (t.column(c).to_numpy() for c in "hdpn")
@@ -223,8 +286,18 @@ def _sorted(segs: DataFrame, length: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(d[new]), pa.array(p[new]), pa.array(p[last] + length)], names=["d", "a", "b"])
 
     def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Segments go on to be sorted, ready ranges to ``ready``."""
+        """Segments go on to be sorted, ready ranges and later windows of split keys to ``ready``."""
+        last = None
         for batch in batches:
+            split = batch.filter(batch.column(6).is_valid())
+            if split.num_rows:
+                h, d, p, g = (split.column(i).to_numpy() for i in (0, 1, 2, 6))
+                later = np.concatenate(([last == (h[0], g[0])], (h[1:] == h[:-1]) & (g[1:] == g[:-1])))
+                last = h[-1], g[-1]
+                if later.any():
+                    ready.append(pa.RecordBatch.from_arrays(
+                        [pa.array(d[later]), pa.array(p[later]), pa.array(p[later] + length)], names=["d", "a", "b"]))
+                batch = batch.filter(batch.column(6).is_null())
             done = batch.filter(batch.column(5).is_valid())
             if done.num_rows:
                 ranges = done.column(5).flatten()
@@ -252,26 +325,33 @@ def _sorted(segs: DataFrame, length: int) -> DataFrame:
         while ready:
             yield ready.pop()
 
-    return (segs.repartition("h").sortWithinPartitions("h", "d", "p")
+    return (segs.repartition("h").sortWithinPartitions("h", "g", "d", "p")
             .mapInArrow(run, "d bigint, a bigint, b bigint"))
 
 
-def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Byte ranges ``d, a, b`` to remove (they may overlap) of ``docs``: ``d, text``."""
+def shards(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """Segments to sort, windows of split keys and ready ranges (see ``_texts``) of ``docs``: ``d, text``."""
     by_key = Window.partitionBy("h")
     copies = Window.partitionBy("h", "g").orderBy("d", "p")
     seen = _scan(docs, length).withColumns({
         "mixed": F.min("g").over(by_key) != F.max("g").over(by_key),
         "nth": F.row_number().over(copies), "f": F.first(F.struct("d", "p")).over(copies)})
+    seen = seen.withColumn("size", F.sum(F.when(F.col("nth") == 1, F.col("n") + (length - 1))).over(by_key))
     # one list per document for both kinds, so that the scan and its exchange run once
-    copy = F.transform("more", lambda m: F.struct(m["d"].alias("d"), m["p"].alias("p"), F.lit(False).alias("sort")))
-    own = F.struct("d", "p", ((F.col("nth") == 1)).alias("sort"))
+    copy = F.transform("more", lambda m: F.struct(m["d"].alias("d"), m["p"].alias("p"), F.lit(COPY).alias("kind")))
+    kind = F.when(F.col("nth") > 1, COPY).when(F.col("size") > MAX_SHARD, SPLIT).otherwise(SORT)
+    own = F.struct("d", "p", kind.alias("kind"))
     marked = (seen.filter("nth > 1 or mixed or loop or size(more) > 0")
               .select("h", "n", "f", (F.col("mixed") | F.col("loop")).alias("open"),
                       F.explode(F.concat(F.array(own), copy)).alias("at"))
-              .filter(F.when(F.col("at.sort"), F.col("open")).otherwise(F.struct("at.d", "at.p") != F.col("f")))
-              .select("at.d", "h", "at.p", "n", "at.sort"))
-    return _sorted(_texts(docs, marked, length), length)
+              .filter(F.when(F.col("at.kind") != COPY, F.col("open")).otherwise(F.struct("at.d", "at.p") != F.col("f")))
+              .select("at.d", "h", "at.p", "n", "at.kind"))
+    return _texts(docs, marked, length)
+
+
+def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """Byte ranges ``d, a, b`` to remove (they may overlap) of ``docs``: ``d, text``."""
+    return _sorted(shards(docs, length), length)
 
 
 def merge_ranges(a: np.ndarray, b: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -330,6 +330,22 @@ def test_repeated_passages_against_brute_force(spark, awkward, docs, empty):
     assert again[None] == 0 and again[0] == len(awkward[0])
 
 
+def test_hot_key_of_different_segments_is_split(spark, awkward, monkeypatch):
+    footer = "All rights reserved by the harbour office, printed from example.org/harbour/prints on a grey day of the season."
+    texts = awkward + [words(30, 500 + i) + " " + footer[:60 + i % 50] + " " + words(25, 900 + i % 40) for i in range(60)]
+    want = brute_repeats(list(enumerate(texts)), 100)
+    docs = docs_of(spark, texts)
+    largest = []
+    for limit, rows_ in ((10**6, 600_000), (3000, 600_000), (0, 40)):
+        monkeypatch.setattr(suffix, "MAX_SHARD", limit)
+        monkeypatch.setattr(suffix, "COLLAPSE_ROWS", rows_)
+        got = rows(suffix.measure_repeats(docs))
+        assert {i: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for i, r in got.items()} == want
+        texts_of = suffix.shards(suffix._keyed(docs, "doc_id", "text")).selectExpr("h", "length(text) AS n").groupBy("h").sum("n")
+        largest.append(max(r[1] or 0 for r in texts_of.collect()))
+    assert largest[0] > 3000 >= largest[1] > largest[2] == 0
+
+
 def test_induced_sorting_with_spilled_queues(monkeypatch):
     rng = random.Random(3)
     for limit in (4, 10**6):
