@@ -8,14 +8,15 @@ over overlapping windows, are removed.  Windows of blank lines only do not
 count.
 
 Cases: null text stays null; texts under three lines are unchanged; a text
-whose lines all go becomes empty; rows that repeat a doc_id count as one
-document; null doc_id is a key like others and sorts first; other columns
-are passed through (``_n_lines``, ``_n_removed`` and ``_n_spans`` are replaced); no rows: no rows.
+whose lines all go becomes empty; a document is a doc_id with a text (128
+bits of its MD5): rows that repeat both count as one, rows of one doc_id, or
+of none, with different texts are different documents; null doc_id sorts
+first, then the text's MD5 decides; other columns are passed through (``_n_lines``, ``_n_removed`` and ``_n_spans`` are replaced); no rows: no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harmonia.llm.common import fresh
@@ -23,9 +24,14 @@ from harmonia.llm.common import fresh
 WINDOW = 3
 
 
+def _identity(doc_id: str, text: str) -> Column:
+    """What tells documents apart, in their order: doc_id, then the text."""
+    return F.struct(F.col(doc_id).alias("id"), F.unhex(F.md5(F.col(text))).alias("t"))
+
+
 def _windows(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     lines = F.split(F.col(text), "\n", -1)
-    at = docs.select(F.col(doc_id).alias("d"), lines.alias("lines")).filter(F.size("lines") >= size)
+    at = docs.select(_identity(doc_id, text).alias("d"), lines.alias("lines")).filter(F.size("lines") >= size)
     run = F.transform(F.sequence(F.lit(0), F.size("lines") - size), lambda i: F.struct(
         i.alias("pos"), F.array_join(F.slice("lines", i + 1, size), "\n").alias("body")))
     return (at.select("d", F.explode(F.filter(run, lambda r: F.trim(F.translate(r["body"], "\n\r\t", "   ")) != ""))
@@ -34,7 +40,8 @@ def _windows(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = WINDOW) -> DataFrame:
-    """Per document the sorted positions of lines that later occurrences cover: ``d, gone``.
+    """Per document ``d`` (doc_id and digest of the text) the sorted positions of lines that
+    later occurrences cover: ``d, gone``.
 
     Repeats are found by a partially aggregated count; hot windows meet in
     a join whose large partitions Spark can split.
@@ -53,7 +60,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
     ``_n_removed`` and ``_n_spans`` (runs of removed lines)."""
     who, out, parts = fresh(docs, "_d"), fresh(docs, "_gone"), fresh(docs, "_lines")
     gone = repeated_lines(docs, doc_id, text, size).withColumnsRenamed({"d": who, "gone": out})
-    got = docs.join(gone, F.col(doc_id).eqNullSafe(F.col(who)), "left")
+    got = docs.join(gone, F.col(doc_id).eqNullSafe(F.col(f"{who}.id")) & (F.unhex(F.md5(F.col(text))) == F.col(f"{who}.t")), "left")
     none = F.array().cast("array<int>")
     got = got.withColumn(out, F.coalesce(out, none)).withColumn(parts, F.split(F.col(text), "\n", -1))
     # walk over the kept positions only: the complement of the removed ones

@@ -21,9 +21,10 @@ A byte goes if a ``length``-byte string that covers it also starts earlier
 4. The bytes under later windows are merged by document and removed.
 
 Cases: null text counts as empty; texts shorter than ``length`` are kept
-whole; matches never cross documents; a null document id counts as the
-smallest; rows that repeat an id are one document; other columns are
-ignored; no rows: no rows.  Ids are integers.
+whole; matches never cross documents; rows without an id are documents of
+their own, told apart by their text, and come before all others; rows that
+repeat an id are one document; other columns are ignored; no rows: no rows.
+Ids are integers above -2**62.
 """
 
 from __future__ import annotations
@@ -50,7 +51,8 @@ COLLAPSE_ROWS = 600_000
 BATCH_SYMBOLS = 1_500_000
 #: Bytes of different segments above which a key is split by window fingerprints.
 MAX_SHARD = 1_000_000
-NULL_ID = -(1 << 63)
+#: Rows without an id have numbers below this, by 62 bits of the text's hash.
+NO_ID = -(1 << 62)
 #: What becomes of a segment: cut as a copy, sorted, or split into its windows.
 COPY, SORT, SPLIT = 0, 1, 2
 
@@ -372,7 +374,8 @@ def _cut_out(raw: bytes, cuts: pa.ListScalar) -> tuple[bytes, int, int]:
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str, others: tuple[str, ...] = ()) -> DataFrame:
-    return docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NULL_ID)).alias("d"), F.col(text).alias("text"),
+    own = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), 2) + F.lit(-(1 << 63))
+    return docs.select(F.coalesce(F.col(doc_id).cast("bigint"), own).alias("d"), F.col(text).alias("text"),
                        *[F.col(c).alias(f"x{i}") for i, c in enumerate(others)])
 
 
@@ -391,7 +394,7 @@ def measure_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             for d, t, cuts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 raw = t.encode() if t else b""
                 kept, gone, spans = _cut_out(raw, cuts)
-                row = (None if d == NULL_ID else d, len(raw), gone, spans, hashlib.sha256(kept).hexdigest())
+                row = (None if d < NO_ID else d, len(raw), gone, spans, hashlib.sha256(kept).hexdigest())
                 for c, v in zip(out, row):
                     c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, [pa.int64()] * 4 + [pa.string()])],

@@ -461,6 +461,24 @@ def test_line_windows_plan_has_no_python(spark, docs):
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
+def test_documents_are_told_apart_by_id_and_text(spark):
+    shared = "\n".join(words(9, 700 + i) for i in range(6))
+    other = "\n".join(words(9, 800 + i) for i in range(14))
+    first, second = shared + "\n" + words(20, 1), other + "\n" + shared
+    data = [(None, first), (None, second), (None, other.upper()), (7, first.lower()[::-1]), (7, other[::-1] + "\n" + first)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    key = [(i, hashlib.md5(t.encode()).digest(), t) for i, t in data]
+    order = sorted(key, key=lambda k: (k[0] is not None, k[0] or 0, k[1]))
+    want = {order[i][2]: v for i, v in brute_lines([(i, k[2]) for i, k in enumerate(order)]).items()}
+    got = lines.dedup_lines(df.withColumn("whole", df.text)).collect()
+    assert {r.whole: (r._n_lines, r._n_removed, r.text) for r in got} == want and len(got) == len(data)
+    texts = {i: t for i, (_, t) in enumerate(data[:3])}
+    kept = suffix.measure_repeats(df.filter("doc_id is null")).collect()
+    brutes = [sorted(brute_repeats([(i, texts[i]) for i in p], 100).values()) for p in ((0, 1, 2), (1, 0, 2))]
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in kept) in brutes
+    assert {r.doc_id for r in kept} == {None}
+
+
 # pipeline ----------------------------------------------------------------------------------
 
 def test_pipeline_against_brute_force(spark, awkward):
