@@ -27,7 +27,10 @@ ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))
 #: Fixed values of the HTML standard: element classes of the tree builder.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noframes iframe xmp".split())
-UNSEEN = frozenset("head script style template noscript title iframe noframes object audio video canvas svg math datalist".split())
+UNSEEN = frozenset("head script style template noscript title iframe noframes object audio video canvas datalist desc metadata annotation annotation-xml".split())
+#: Elements that may stand in a head; any other one ends it.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title head html".split())
+TABLE_PARTS = frozenset("thead tbody tfoot".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure".split())
 BLOCK = SPACED | frozenset("html body address article aside dd details div dt fieldset figcaption footer form header hgroup "
                            "hr legend li main menu nav section summary tr thead tbody tfoot caption center option".split())
@@ -41,6 +44,7 @@ CLOSES = {
     "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "body": ({"head"}, set()),
 }
+HOLDS = frozenset("template noscript".split())
 CLOSES_P = BLOCK - frozenset("option tr thead tbody tfoot caption html body legend".split()) | {"hr"}
 P_SCOPE = frozenset("button td th caption table html".split())
 INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
@@ -72,6 +76,8 @@ def build_tree(page: str) -> Node:
         m = TOKEN.search(page, at)
         end = m.start() if m else size
         if end > at:
+            if stack[-1].tag == "head" and page[at:end].strip():
+                stack.pop()
             stack[-1].kids.append(htmllib.unescape(page[at:end]))
         if not m:
             break
@@ -87,6 +93,13 @@ def build_tree(page: str) -> Node:
                 if stack[i].tag in ("td", "th", "table") and tag not in ("tr", "table", "tbody", "thead", "tfoot"):
                     break  # a stray end tag does not reach out of a cell
             continue
+        if tag not in IN_HEAD:
+            for i in range(len(stack) - 1, 0, -1):
+                if stack[i].tag == "head":
+                    del stack[i:]
+                    break
+                if stack[i].tag not in IN_HEAD or stack[i].tag in HOLDS:
+                    break
         if tag in CLOSES_P:
             close({"p"}, P_SCOPE)
         if tag in CLOSES:
@@ -105,8 +118,7 @@ def build_tree(page: str) -> Node:
 
 def visible(node: Node) -> bool:
     a = node.attrs
-    return not (node.tag in UNSEEN or "hidden" in a or (a.get("aria-hidden") or "").lower() == "true"
-                or node.tag == "input" or INVISIBLE.search(a.get("style") or ""))
+    return not (node.tag in UNSEEN or "hidden" in a or node.tag == "input" or INVISIBLE.search(a.get("style") or ""))
 
 
 class Page:
@@ -160,21 +172,61 @@ class Page:
         return "\n".join(self.lines).strip("\n")
 
 
-def _rows(table: Node) -> list[list[Node]]:
-    rows, todo = [], list(reversed(table.kids))
+def _rows(table: Node) -> tuple[list[list[Node]], list[Node | str]]:
+    """Rows of cells of a table, and what stands in it outside of cells.
+
+    A bare cell belongs to an implied row; other elements of a table are
+    searched for rows, and as a whole stand before the table if they have none.
+    """
+    rows, stray, above = [], [], _above_cells(table)
+    todo: list = [(k, None) for k in reversed(table.kids)]
+    loose = None  # the implied row that bare cells join
     while todo:
-        k = todo.pop()
-        if isinstance(k, Node) and visible(k):
-            if k.tag == "tr":
-                rows.append([c for c in k.kids if isinstance(c, Node) and c.tag in ("td", "th") and visible(c)])
-            elif k.tag in ("thead", "tbody", "tfoot"):
-                todo.extend(reversed(k.kids))
-    return rows
+        k, row = todo.pop()
+        if isinstance(k, str):
+            if stray or k.strip():
+                stray.append(k)
+        elif not visible(k) or k.tag == "caption" and row is None:
+            continue
+        elif k.tag in ("td", "th"):
+            if row is None:
+                if loose is None:
+                    rows.append(loose := [])
+                row = loose
+            row.append(k)
+        elif k.tag == "tr":
+            loose = None
+            rows.append(own := [])
+            todo.extend((x, own) for x in reversed(k.kids))
+        elif k.tag in TABLE_PARTS:
+            loose = None
+            todo.extend((x, None) for x in reversed(k.kids))
+        elif id(k) in above:
+            todo.extend((x, row) for x in reversed(k.kids))
+        else:
+            stray.append(k)
+    return rows, stray
+
+
+def _above_cells(table: Node) -> set[int]:
+    """Identities of the nodes below ``table`` that hold its rows or cells."""
+    seen: list = [(table, None)]
+    for node, _ in seen:
+        if node is table or node.tag not in ("td", "th", "table"):
+            seen.extend((k, node) for k in node.kids if isinstance(k, Node))
+    out: set[int] = set()
+    for node, parent in reversed(seen):
+        if parent is not None and (node.tag in ("td", "th", "tr") or id(node) in out):
+            out.add(id(parent))
+    return out
 
 
 def _aligned(rows: list[list[str]]) -> str:
-    width = [max(len(r[i]) for r in rows if i < len(r)) for i in range(max(map(len, rows)))]
-    return "\n".join("  ".join(c.ljust(w) for c, w in zip(r, width)).rstrip() for r in rows)
+    """Rows of padded cells; the lines of a cell stand below one another."""
+    cells = [[c.split("\n") for c in r] for r in rows]
+    width = [max(len(x) for r in cells if i < len(r) for x in r[i]) for i in range(max(map(len, cells)))]
+    return "\n".join("  ".join((c[k] if k < len(c) else "").ljust(w) for c, w in zip(r, width)).rstrip()
+                     for r in cells for k in range(max(map(len, r), default=0)))
 
 
 def render(root: Node, depth: int = 0) -> str:
@@ -214,7 +266,13 @@ def render(root: Node, depth: int = 0) -> str:
                     if isinstance(k, Node) and k.tag == "caption" and visible(k):
                         page.text(render(k, depth + 1), False)
                         page.block(False)
-                rows = [[SPACE.sub(" ", render(c, depth + 1)) for c in r] for r in _rows(x)]
+                cells, stray = _rows(x)
+                if stray:  # shown before the table, as in a browser
+                    before = Node("", {})
+                    before.kids = stray
+                    page.text(render(before, depth + 1), True)
+                    page.block(False)
+                rows = [[render(c, depth + 1) for c in r] for r in cells]
                 if rows := [r for r in rows if any(r)]:
                     page.text(_aligned(rows), True)
                 page.block(True)

@@ -382,6 +382,23 @@ def test_layout_rendering(spark):
     assert html_layout.extract_pages(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<html><head><title>t</title><meta charset=x><p>seen</p>more", "seen\n\nmore"),
+    ("<head><style>p{}</style>bare text", "bare text"),
+    ("<head><noscript><img alt=no></noscript><title>t</title></head><body>b", "b"),
+    ("<table><td>x<td>y</table>", "x  y"),
+    ("<table><tbody><td>x</tbody><tr><td>y</table>", "x\ny"),
+    ("<table><form><tr><td>a<td>b</form></table>", "a  b"),
+    ("<table><center>note</center><tr><td>a</table>z", "note\na\n\nz"),
+    ("<table>loose<tr><td>a</table>", "loose\na"),
+    ("<table><tr><font>in row</font><td>a</table>", "in row\na"),
+    ("<svg><text>label</text></svg> <span aria-hidden=true>icon</span> <math><mi>k</mi></math>", "label icon k"),
+    ("<table><tr><td>one<br>two<td>x</table>", "one  x\ntwo"),
+])
+def test_layout_keeps_text_of_pages_with_omitted_tags(page, text):
+    assert html_layout.extract(page) == text
+
+
 def test_layout_keeps_all_visible_words(spark, sf_small):
     from html.parser import HTMLParser
 
