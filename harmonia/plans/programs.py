@@ -48,20 +48,23 @@ def _merge(res: Result, out) -> Result:
 
 
 def taxon_chain(df: DataFrame, typos: DataFrame | None, taxa: DataFrame | None, std_type: str = "program",
-                std_sp: bool = True, std_suffix: bool = True) -> Result:
-    """X5 -> X4 -> X6 -> X7: typos, unknowns, synonyms, higher taxonomy."""
+                std_sp: bool = True, std_suffix: bool = True, *, typo_order: str | list[str] | None = None,
+                taxa_order: str | list[str] | None = None) -> Result:
+    """X5 -> X4 -> X6 -> X7: typos, unknowns, synonyms, higher taxonomy.  A
+    table that is given needs the column(s) that order its rows."""
     res = Result(df)
     if typos is not None:
-        res = _merge(res, X.correct_taxon_typos(res.df, typos))
+        res = _merge(res, X.correct_taxon_typos(res.df, typos, order=typo_order))
     res = _merge(res, X.clean_unknowns(res.df, std_sp, std_suffix))
     if taxa is not None:
-        res = _merge(res, X.update_synonyms(res.df, taxa))
+        res = _merge(res, X.update_synonyms(res.df, taxa, order=taxa_order))
         res = _merge(res, X.higher_lvl_taxa(res.df, taxa, std_type))
     return res
 
 
 def format_program(df: DataFrame, cfg: dict, typos: DataFrame | None = None, taxa: DataFrame | None = None,
-                   meta: DataFrame | None = None, stations: DataFrame | None = None) -> Result:
+                   meta: DataFrame | None = None, stations: DataFrame | None = None, *,
+                   typo_order: str | list[str] | None = None, taxa_order: str | list[str] | None = None) -> Result:
     """L1: one program's raw counts to the standard table.
 
     distinct -> rename -> drop old taxonomy -> densities -> phytoform ->
@@ -93,7 +96,8 @@ def format_program(df: DataFrame, cfg: dict, typos: DataFrame | None = None, tax
     res = _merge(res, X.add_qc_col(res.df, comment))
     res = _merge(res, X.add_debris_col(res.df, comment))
     res = _merge(res, X.add_notes_col(res.df, comment))
-    res = _merge(res, taxon_chain(res.df, typos, taxa, cfg.get("std_type", "program")))
+    res = _merge(res, taxon_chain(res.df, typos, taxa, cfg.get("std_type", "program"),
+                                  typo_order=typo_order, taxa_order=taxa_order))
     res = Result(stage(res.df), res.logs)
     keys = cfg.get("key_cols", ["Date", "Station"])
     res.logs["nondistinct_keyrows"] = CK.check_distinct(res.df, "key_cols", key_cols=keys)
@@ -107,7 +111,8 @@ def format_program(df: DataFrame, cfg: dict, typos: DataFrame | None = None, tax
 
 
 def prep_for_synthesis(df: DataFrame, cfg: dict, meta: DataFrame | None = None, typos: DataFrame | None = None,
-                       taxa: DataFrame | None = None) -> Result:
+                       taxa: DataFrame | None = None, *, typo_order: str | list[str] | None = None,
+                       taxa_order: str | list[str] | None = None) -> Result:
     """L2: a formatted program to the synthesis form: fixed UTC-8 clock,
     metadata columns, constants, original taxa kept, taxon chain in
     ``unified`` mode, Event_ID, subset, combine, no-data, outliers."""
@@ -124,7 +129,7 @@ def prep_for_synthesis(df: DataFrame, cfg: dict, meta: DataFrame | None = None,
         res = _merge(res, P.add_constants(res.df, cfg["constants"]))
     if "OrigTaxon" in res.df.columns:
         res = _merge(res, P.extract_program_taxa(res.df))
-    res = _merge(res, taxon_chain(res.df, typos, taxa, "unified"))
+    res = _merge(res, taxon_chain(res.df, typos, taxa, "unified", typo_order=typo_order, taxa_order=taxa_order))
     res = Result(stage(res.df), res.logs)
     if {"Survey", "Date", "DepthType", "SampleDepth"} <= set(res.df.columns):
         res = _merge(res, add_event_id(res.df, cfg.get("loc_col", "Station")))
@@ -207,7 +212,8 @@ def community_checks(df: DataFrame, unit_cols: list[str], taxa_cols=("Taxon", "G
 
 
 def formatter_batch(frames: list[DataFrame], schema: dict, preset: str, meta: DataFrame | None = None,
-                    typos: DataFrame | None = None, taxa: DataFrame | None = None) -> Result:
+                    typos: DataFrame | None = None, taxa: DataFrame | None = None, *,
+                    typo_order: str | list[str] | None = None, taxa_order: str | list[str] | None = None) -> Result:
     """The interactive formatter as one batch job, driven by a survey
     schema: standardise columns, union uploads, checks, timezone, metadata,
     comment codes, densities, taxon chain, combine, subset.  Each step runs
@@ -241,12 +247,12 @@ def formatter_batch(frames: list[DataFrame], schema: dict, preset: str, meta: Da
         res = _merge(res, X.add_debris_col(res.df, cc))
         res = _merge(res, X.add_notes_col(res.df, cc))
     if applies(schema, "correct_taxon_typos", preset) and typos is not None:
-        res = _merge(res, X.correct_taxon_typos(res.df, typos))
+        res = _merge(res, X.correct_taxon_typos(res.df, typos, order=typo_order))
     if applies(schema, "standardize_unknowns", preset):
         o = step(schema, "standardize_unknowns", preset)
         res = _merge(res, X.clean_unknowns(res.df, o.get("std_sp", True), o.get("std_suffix", True)))
     if applies(schema, "update_synonyms", preset) and taxa is not None:
-        res = _merge(res, X.update_synonyms(res.df, taxa))
+        res = _merge(res, X.update_synonyms(res.df, taxa, order=taxa_order))
     if applies(schema, "higher_lvl_taxa", preset) and taxa is not None:
         mode = step(schema, "higher_lvl_taxa", preset).get("std_type", "program")
         res = _merge(res, X.higher_lvl_taxa(res.df, taxa, "unified" if mode != "program" else "program"))

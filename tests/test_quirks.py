@@ -329,3 +329,18 @@ def test_regions_over_many_tiles_match_brute_force(spark):
     assert out.columns == ["k", "Longitude", "Latitude", "Region", "SubRegion"]
     assert {r["k"]: r["Region"] for r in out.collect()} == want
     assert assign_region(df, polys.limit(0)).count() == 0
+
+
+def test_first_row_of_a_repeated_key_is_by_order(spark):
+    from harmonia.plans import programs as PG
+    data = spark.createDataFrame([("Aa bx",)], ["Taxon"])
+    typos = spark.createDataFrame([(o, "aa bx", f"Aa b{'abcdefgh'[o]}") for o in range(8)], ["o", "Taxon", "TaxonCorrected"])
+    taxa = spark.createDataFrame([(o, "Aa ba", f"Aa c{'abcdefgh'[o]}", "Green Algae") for o in range(8)],
+                                 ["o", "Taxon", "CurrentTaxon", "AlgalGroup"])
+    for parts in (1, 3):
+        t, x = typos.orderBy(F.desc("o")).coalesce(1), taxa.orderBy(F.desc("o")).coalesce(1)
+        t, x = (t, x) if parts == 1 else (t.repartition(parts), x.repartition(parts))
+        got = PG.taxon_chain(data, t, x, typo_order="o", taxa_order=["o", "Taxon"]).df
+        assert {r.Taxon for r in got.collect()} == {"Aa ca"}
+    with pytest.raises(ValueError):
+        PG.taxon_chain(data, typos, None)
