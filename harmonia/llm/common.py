@@ -38,6 +38,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name like ``name`` that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}

@@ -6,12 +6,16 @@ derives the digest columns from the operator's outputs.
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harmonia.llm import bpe_rank, chat, embed_dedup, html_layout, langid, lines, minhash, packing, quality, suffix
-from harmonia.llm.common import table
+from harmonia.llm import (bpe_rank, chat, embed_dedup, fim, html_layout, langid, lines, minhash, packing, quality, suffix,
+                          warc, whitening)
+from harmonia.llm.common import cut, remove, sql_type, table
+from harmonia.session import checkpoint_dir
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,6 +136,69 @@ SELECT v.vec_id, coalesce(n.n, 0) AS n_links, c.c AS component_id, v.vec_id = c.
 FROM v JOIN c ON v.vec_id = c.a LEFT JOIN n ON v.vec_id = n.a"""
 
 
+def op11_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the archives, normalises them, reads every record back by the index; the archives are removed at the end."""
+    pages = table(spark, sf_dir, "pages")
+    root, kind = f"{checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}", sql_type(pages, "page_id")
+    warc.write_monolithic(warc.plan_records(pages), f"{root}/streams")
+    warc.normalise(spark, f"{root}/streams", f"{root}/records")
+    remove(spark, f"{root}/streams")
+    got = warc.read_records(spark, f"{root}/records", payload=False)
+    done = cut(got.select(warc.page_of(F.col("record_id"), kind).alias("page_id"), "payload_bytes", "payload_digest",
+                          "record_type", warc.page_of(F.col("refers_to"), kind).alias("refers_to")))
+    remove(spark, root)
+    return done
+
+
+OP11_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+             sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+  CASE WHEN f.first IS NULL OR p.page_id IS NOT DISTINCT FROM f.first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN p.page_id IS DISTINCT FROM f.first THEN f.first END AS refers_to
+FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest"""
+
+
+def op12_wavelet_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    got = fim.restore(fim.fill_in_middle(docs))
+    return got.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2("restored", 256).alias("restored_sha256"))
+
+
+OP12_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS u,
+    sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+k AS (
+  SELECT doc_id, t, u, CAST(len(u) - CASE WHEN t = '' OR t[-1] = chr(10) THEN 1 ELSE 0 END AS BIGINT) AS n,
+    CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+c AS (
+  SELECT doc_id, t, u, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+         WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM k),
+p AS (
+  SELECT doc_id, t, n, form,
+    CASE WHEN a = n THEN t WHEN a = 0 THEN '' ELSE array_to_string(u[1:a], chr(10)) || chr(10) END AS before,
+    CASE WHEN b = n THEN t WHEN b = 0 THEN '' ELSE array_to_string(u[1:b], chr(10)) || chr(10) END AS upto FROM c),
+o AS (
+  SELECT doc_id, t, n, form, before AS prefix, substr(upto, length(before) + 1) AS middle, substr(t, length(upto) + 1) AS suffix
+  FROM p)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+         ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM o"""
+
+
+def op13_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors)
+    return whitening.component_rows(whitening.whiten(vectors, model), model)
+
+
 QUERIES = {
     "op1_chat_format": (op1_chat_format, OP1_SQL),
     "op2_binary_codes": (op2_binary_codes, OP2_SQL),
@@ -143,4 +210,7 @@ QUERIES = {
     "op8_html_layout": (op8_html_layout, None),
     "op9_rank_bpe": (op9_rank_bpe, None),
     "op10_line_windows": (op10_line_windows, OP10_SQL),
+    "op11_warc_normaliser": (op11_warc_normaliser, OP11_SQL),
+    "op12_wavelet_fim": (op12_wavelet_fim, OP12_SQL),
+    "op13_feast_whitening": (op13_feast_whitening, None),
 }
