@@ -15,10 +15,12 @@ from __future__ import annotations
 
 import numpy as np
 
-NODES = 8
-MAX_ROUNDS = 60
+NODES = 16
+MAX_ROUNDS = 200
 #: Eigenvalues in one interval, unless more of them cannot be told apart.
 PER_INTERVAL = 8
+#: Share of an interval's width that the gap at its edge should have.
+WIDE = 0.05
 
 
 def tridiagonal(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -65,27 +67,34 @@ class Inertia:
 
 def _intervals(inertia: Inertia, k: int, scale: float) -> list[tuple[float, float, int]]:
     """Disjoint intervals ``(from, to, eigenvalues inside)`` from the top that hold the
-    ``k`` largest eigenvalues.  Their edges lie in the widest gaps nearby, so
-    that eigenvalues too close to tell apart stay in one interval."""
-    d, near = len(inertia.rows), 1e-7 * scale
-    about = [inertia.largest(i, -near, 2 * scale, near / 8) for i in range(1, min(d, k + PER_INTERVAL) + 1)]
-    out, start, top = [], 0, None
+    ``k`` largest eigenvalues.  Their edges lie in gaps that are wide beside
+    them, so that quadrature tells the sides apart; eigenvalues too close to
+    tell apart stay in one interval, wide gaps belong to none."""
+    d, near = len(inertia.rows), 1e-10 * scale
+    about: list[float] = []
+
+    def value(i: int) -> float:
+        while len(about) <= i:
+            about.append(inertia.largest(len(about) + 1, -near, 2 * scale, near / 8))
+        return about[i] if i >= 0 else np.inf
+
+    out, start = [], 0
     while start < k:
-        stop = start + PER_INTERVAL
-        while stop < d:
-            while len(about) <= stop:
-                about.append(inertia.largest(len(about) + 1, -near, 2 * scale, near / 8))
-            gaps = [about[i - 1] - about[i] for i in range(max(start + 1, stop - PER_INTERVAL // 2), stop + 1)]
-            if max(gaps) > near:
-                stop += 1 - len(gaps) + int(np.argmax(gaps))
-                break
+        cuts, stop = [], start + 1  # gap over width of what lies above it, and where it is
+        while stop < d and (stop <= start + PER_INTERVAL or not cuts):
+            gap = value(stop - 1) - value(stop)
+            if gap > near:
+                cuts.append((gap / (value(start) - value(stop)), stop))
             stop += 1
-        stop = min(stop, d)
-        bottom = (about[stop - 1] + about[stop]) / 2 if stop < d else about[stop - 1] - max(near, 0.05 * about[start])
-        if top is None:
-            top = about[0] + max(about[0] - bottom, 0.05 * scale) / 2
-        out.append((bottom, top, inertia.below(top) - inertia.below(bottom)))
-        start, top = stop, bottom
+        if stop >= d and (not cuts or d <= start + PER_INTERVAL):
+            cuts.append((1.0, d))
+        wide = [c for r, c in cuts if r >= WIDE]
+        stop = max(wide) if wide else max(cuts)[1]
+        high, low = value(start), value(stop - 1)
+        room = min((value(start - 1) - high) / 2, (low - value(stop)) / 2 if stop < d else np.inf,
+                   max(high - low, abs(high) / 2, near))
+        out.append((low - room, high + room, inertia.below(high + room) - inertia.below(low - room)))
+        start = stop
     return out
 
 

@@ -18,6 +18,7 @@ other columns are passed through; no rows: no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from decimal import Decimal
@@ -83,22 +84,29 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
+def _added(batches: Iterator[pa.RecordBatch], part: Callable[[pa.Array], np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """One row: the sum of what ``part`` makes of each batch; none without rows."""
+    total = None
+    for batch in batches:
+        if batch.num_rows:
+            got = part(batch.column(0))
+            total = got if total is None else total + got
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["v"])
+
+
 def _summed(fit_list: DataFrame, part: Callable[[np.ndarray], np.ndarray], dim: int) -> np.ndarray:
-    """The sum over all vectors of what ``part`` makes of a batch: summed in tasks, then by Spark."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
-        for batch in batches:
-            if batch.num_rows:
-                got = part(_matrix(batch.column(0), dim)).ravel()
-                total = got if total is None else total + got
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["k", "v"])
-
-    rows = fit_list.mapInArrow(run, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()
-    out = np.zeros(len(rows))
-    for k, v in rows:
-        out[k] = v
-    return out
+    """The sum over all vectors of what ``part`` makes of a batch.
+
+    A task hands on one row; as many tasks as the root of their number add
+    those rows up, and one task adds what these found."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _added(batches, lambda c: c.flatten().to_numpy().reshape(len(c), -1).sum(axis=0))
+
+    parts = fit_list.mapInArrow(lambda b: _added(b, lambda c: part(_matrix(c, dim)).ravel()), "v array<double>")
+    few = math.isqrt(max(1, fit_list.rdd.getNumPartitions()))
+    got = parts.repartition(few).mapInArrow(add, "v array<double>").repartition(1).mapInArrow(add, "v array<double>").first()
+    return np.array(got["v"])
 
 
 def _count_and_sums(fit_list: DataFrame, dim: int) -> tuple[int, tuple[int, ...]]:
