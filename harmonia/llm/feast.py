@@ -109,14 +109,16 @@ def _interval_pairs(a: np.ndarray, low: float, high: float, count: int, rng) ->
     best, pairs = np.inf, None
     for _ in range(MAX_ROUNDS):
         image = sum(0.5 * wi * (radius * t * np.linalg.solve(z, block)).real for wi, t, z in zip(w, turns, shifted))
-        q, _ = np.linalg.qr(image)
+        q, weight, _ = np.linalg.svd(image, full_matrices=False)
+        q = q[:, weight > 1e-14 * weight[0]]  # what the filter has left of other eigenvectors is noise
         values, turn = np.linalg.eigh(q.T @ a @ q)
         block = q @ turn
+        off = np.abs(a @ block - block * values).max(axis=0) / scale
         inside = np.flatnonzero((values >= low) & (values < high))
-        if len(inside) != count:
+        if len(inside) < count:
             continue
-        e, v = values[inside], block[:, inside]
-        residual = np.abs(a @ v - v * e).max() / scale
+        inside = np.sort(inside[off[inside].argsort()[:count]])  # others in there are no eigenvalues
+        e, v, residual = values[inside], block[:, inside], off[inside].max()
         if residual < best / 2:
             best, pairs = residual, (e, v)
         elif best < 1e-11:
