@@ -4,7 +4,7 @@ so it also runs on a streaming DataFrame."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harmonia.functions.exprs import C
@@ -148,3 +148,12 @@ def year_month_key(d) -> Column:
 
 def month_label(d) -> Column:
     return F.date_format(C(d), "MMM")
+
+
+def timezone_preview(df: DataFrame, from_tz: str, date_col: str = "Date", time_col: str = "Time") -> DataFrame:
+    """The distinct dates and times that ``shift_clock`` would move: those
+    outside summer time, with ``PST`` all of them and with ``PDT`` none; a
+    time that is missing or not valid is not moved."""
+    valid = F.col(time_col).isNotNull() & F.col(time_col).rlike(VALID_TIME)
+    moved = {"PDT": F.lit(False), "PST": valid}.get(from_tz, valid & ~in_us_dst(F.col(date_col)))
+    return df.where(moved).select(date_col, time_col).distinct().orderBy(date_col, time_col)

@@ -11,12 +11,13 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harmonia.frame import ROW_ID, Result, null_safe_join
 from harmonia.functions.exprs import squish
 from harmonia.functions.timefn import VALID_TIME, time_hour, time_minutes_text
+from harmonia.operators.grids import number_rows
 from harmonia.operators.reshape import distinct_keep_first
 
 NUMERIC = ("double", "float", "int", "bigint", "smallint", "tinyint")
@@ -184,10 +185,16 @@ def check_count_issue(df: DataFrame, cell_col: str, unit_col: str) -> DataFrame:
     return df.withColumn("Diff", F.col(cell_col) - F.col(unit_col)).where(F.col("Diff") < 0).distinct()
 
 
-def check_non_numeric(df: DataFrame, col: str) -> DataFrame:
-    """Distinct values that do not read as a number."""
+def check_non_numeric(df: DataFrame, col: str, order_cols: list[str], first: int = 10) -> DataFrame:
+    """Distinct values that do not read as a number, each with the numbers
+    of the ``first`` rows that hold it (``row_numbers``, from 1 in the order of
+    ``order_cols``).  Per value only that many rows leave a task."""
     c = F.col(col)
-    return df.where(c.isNotNull() & c.cast("string").try_cast("double").isNull()).select(col).distinct()
+    numbered = number_rows(df.select(col, *[x for x in order_cols if x != col]), order_cols, "__row")
+    bad = numbered.where(c.isNotNull() & c.cast("string").try_cast("double").isNull()).select(col, "__row")
+    nth = F.row_number().over(Window.partitionBy(col).orderBy("__row"))
+    return (bad.withColumn("__nth", nth).where(F.col("__nth") <= first)
+            .groupBy(col).agg(F.array_sort(F.collect_list("__row")).alias("row_numbers")))
 
 
 def unique_values(df: DataFrame, col: str) -> DataFrame:
@@ -364,8 +371,16 @@ def row_count_conserved(parts: list[DataFrame], union: DataFrame) -> DataFrame:
     return agg.withColumn("conserved", F.col("n_parts") == F.col("n_union"))
 
 
-def squished_equal(a: Column, b: Column) -> Column:
-    return squish(a).eqNullSafe(squish(b))
+def program_logs(df: DataFrame, id_col: str = "Sortable_ID", lat: str = "Latitude", lon: str = "Longitude",
+                 date_col: str = "Date", time_col: str = "Time") -> dict[str, DataFrame]:
+    """A program's small logs: ids that occur more than once with their
+    count ``n``, and the distinct samples without coordinates or time."""
+    return {
+        "sortable_check": df.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1),
+        "missing_latlon": (df.where(F.col(lat).isNull() | F.col(lon).isNull())
+                           .select(date_col, time_col, id_col, lat, lon).distinct()),
+        "missing_time": df.where(F.col(time_col).isNull()).select(date_col, time_col, id_col).distinct(),
+    }
 
 
 def taxonomy_unmatched(df: DataFrame, ref: DataFrame,

@@ -3,21 +3,23 @@ top-taxa summaries, shares and extreme-value filters.
 
 The community matrix stays LONG (unit, taxon, value); the wide form is
 produced only on request with explicit taxon columns.  Pairwise measures
-(A6, A7) are quadratic in units by definition: they run on aggregated units
-whose number is checked against ``max_units`` (raise above it) -- they never
-pair raw rows.
+(A6, A7) are quadratic in units by definition.  They run on aggregated units,
+never on raw rows, and meet block by block (``pairs_within``), so that no
+unit, taxon or group has to fit one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harmonia.frame import null_safe_join
 from harmonia.functions.exprs import sum_strict
 
-MAX_UNITS = 5_000
-MAX_GROUPS = 100
+#: Rows of a block that meets others in ``pairs_within``.
+BLOCK_ROWS = 512
+#: Permutations whose labels share one bit mask.
+MASK_BITS = 62
 
 
 def group_sums(df: DataFrame, by: list[str], measures: list[str], na_strict: bool = True,
@@ -50,29 +52,37 @@ def community_wide(long: DataFrame, meta_vars: list[str], taxa_var: str, taxa: l
     return w.fillna(0.0, subset=[t for t in taxa])
 
 
-def _check_units(long: DataFrame, unit_cols: list[str], max_units: int) -> None:
-    n = long.select(*unit_cols).distinct().limit(max_units + 1).count()
-    if n > max_units:
-        raise ValueError(f"{n}+ units exceed max_units={max_units}; aggregate or block first")
+def pairs_within(rows: DataFrame, keys: list[str], member: str, blocks: Column, cols: list[str]) -> DataFrame:
+    """Every unordered pair of a key's rows once, as structs ``l`` and ``r`` of ``cols``.
 
+    ``member`` tells the rows of a key apart.  A key's rows are dealt into
+    ``blocks`` by hash and the blocks meet in pairs, in an equi-join on key and
+    block pair: a key that every row has spreads over ``blocks^2 / 2`` join
+    keys, and a row is copied once per block of its own key.
+    """
+    own = F.pmod(F.xxhash64(member, F.lit("block")), blocks).cast("int")
+    r = rows.withColumn("__own", own).withColumn("__other", F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1)))
+    r = r.withColumns({"__i": F.least("__own", "__other"), "__j": F.greatest("__own", "__other")})
+    on = [*keys, "__i", "__j"]
+    left = r.where(F.col("__own") == F.col("__i")).select(*on, F.struct(*cols).alias("l"))
+    right = r.where(F.col("__own") == F.col("__j")).select(*on, F.struct(*cols).alias("r"))
+    met = left.join(right, on)
+    return met.where((F.col("__i") < F.col("__j")) | (F.col(f"l.{member}") < F.col(f"r.{member}"))).drop("__i", "__j")
 
-def _unit_pairs(units: DataFrame, block_rows: int = 1024) -> DataFrame:
-    """All pairs ``ua < ub`` of units, made block by block: units are dealt
-    into blocks by hash, every block meets every other once (an equi-join on
-    the block pair), so each task handles a bounded square."""
-    n = units.count()
-    blocks = max(1, -(-n // block_rows))
-    u = units.withColumn("b", F.pmod(F.xxhash64("u"), F.lit(blocks)).cast("int"))
-    u = u.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    u = u.select("u", "tot", F.least("b", "o").alias("bi"), F.greatest("b", "o").alias("bj"), "b")
-    left = u.where(F.col("b") == F.col("bi")).select(F.col("u").alias("x"), F.col("tot").alias("tx"), "bi", "bj")
-    right = u.where(F.col("b") == F.col("bj")).select(F.col("u").alias("y"), F.col("tot").alias("ty"), "bi", "bj")
-    both = left.join(right, ["bi", "bj"]).where((F.col("bi") < F.col("bj")) | (F.col("x") < F.col("y")))
-    less = F.col("x") < F.col("y")
-    return both.where(F.col("x") != F.col("y")).select(
-        F.least("x", "y").alias("ua"), F.greatest("x", "y").alias("ub"),
-        F.when(less, F.col("tx")).otherwise(F.col("ty")).alias("ta"),
-        F.when(less, F.col("ty")).otherwise(F.col("tx")).alias("tb"))
+
+def _text_key(c: str) -> Column:
+    """A text that is never NULL and tells NULL from every value."""
+    return F.coalesce(F.concat(F.lit("1"), F.col(c).cast("string")), F.lit("0"))
+
+
+def _value_of(key: Column) -> Column:
+    return F.when(key.startswith("1"), F.substring(key, 2, 2147483647))
+
+
+def _block_count(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with ``__blocks``: the number of blocks for the size of each row's key."""
+    size = rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("__blocks"))
+    return rows.join(size, keys)
 
 
 def dissimilarity(long: DataFrame, unit: str, taxa_var: str = "Taxon", value: str = "value",
@@ -80,97 +90,173 @@ def dissimilarity(long: DataFrame, unit: str, taxa_var: str = "Taxon", value: st
     """Bray-Curtis (1 - 2 sum(min) / (sum a + sum b)) or quantitative
     Jaccard (2B / (1 + B)) of every pair of non-empty units.
 
-    Shared amounts come from a self-join on taxon; pairs that share nothing
-    are at distance 1.  The result is quadratic in units by definition; the
-    aggregated matrix is computed once and cut."""
+    Only units that share a taxon meet over it: each taxon's list of units is
+    cut into blocks that meet in pairs.  Pairs that share nothing are at
+    distance 1.  The result is quadratic in units by definition; the
+    aggregated matrix is computed once and cut.  A NULL taxon is one taxon."""
     from harmonia.session import checkpoint_dir
     checkpoint_dir(long.sparkSession)
-    x = long.where(F.col(value) > 0).select(F.col(unit).alias("u"), F.col(taxa_var).alias("t"),
+    x = long.where(F.col(value) > 0).select(F.col(unit).alias("u"), _text_key(taxa_var).alias("t"),
                                             F.col(value).cast("double").alias("v")).checkpoint()
+    met = pairs_within(_block_count(x, ["t"]), ["t"], "u", F.col("__blocks"), ["u", "v"])
+    shared = (met.groupBy(F.least("l.u", "r.u").alias("ua"), F.greatest("l.u", "r.u").alias("ub"))
+              .agg(F.sum(F.least("l.v", "r.v")).alias("smin")))
     tot = x.groupBy("u").agg(F.sum("v").alias("tot"))
-    a = x.select(F.col("u").alias("ua"), "t", F.col("v").alias("va"))
-    b = x.select(F.col("u").alias("ub"), "t", F.col("v").alias("vb"))
-    shared = (a.join(b, "t").where(F.col("ua") < F.col("ub"))
-                .groupBy("ua", "ub").agg(F.sum(F.least("va", "vb")).alias("smin")))
-    d = _unit_pairs(tot).join(shared, ["ua", "ub"], "left")
-    bray = F.lit(1.0) - F.lit(2.0) * F.coalesce("smin", F.lit(0.0)) / (F.col("ta") + F.col("tb"))
+    blocks = F.lit(max(1, -(-tot.count() // BLOCK_ROWS)))
+    both = pairs_within(tot, [], "u", blocks, ["u", "tot"])
+    d = both.select(F.least("l.u", "r.u").alias("ua"), F.greatest("l.u", "r.u").alias("ub"),
+                    (F.col("l.tot") + F.col("r.tot")).alias("whole")).join(shared, ["ua", "ub"], "left")
+    bray = F.lit(1.0) - F.lit(2.0) * F.coalesce("smin", F.lit(0.0)) / F.col("whole")
     dist = bray if method == "bray" else F.lit(2.0) * bray / (F.lit(1.0) + bray)
     return d.select(F.col("ua").alias(f"{unit}_a"), F.col("ub").alias(f"{unit}_b"), dist.alias("dissimilarity"))
 
 
+def _simper_input(long: DataFrame, unit: str, group: str, taxa_var: str, value: str) -> DataFrame:
+    """One row per unit and taxon: keys ``g, u, t`` (never NULL), ``m`` (the unit
+    with its group), amount ``v`` and the unit's total ``tot``; computed once and cut."""
+    from harmonia.session import checkpoint_dir
+    checkpoint_dir(long.sparkSession)
+    x = (long.select(_text_key(group).alias("g"), _text_key(unit).alias("u"), _text_key(taxa_var).alias("t"),
+                     F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("v"))
+         .groupBy("g", "u", "t").agg(F.sum("v").alias("v")))
+    tot = x.groupBy("g", "u").agg(F.sum("v").alias("tot"))
+    return x.join(tot, ["g", "u"]).withColumn("m", F.concat_ws("\u0001", "g", "u")).checkpoint()
+
+
+def _overlap(a: Column, b: Column) -> Column:
+    """``|a| + |b| - |a - b|``: what two units that share a taxon differ less than units that do not."""
+    return F.abs(a) + F.abs(b) - F.abs(a - b)
+
+
 def simper(long: DataFrame, unit: str, group: str, taxa_var: str = "Taxon", value: str = "value",
-           max_units: int = MAX_UNITS, permutations: int = 0, seed: int = 42) -> DataFrame:
+           permutations: int = 0, seed: int = 42) -> DataFrame:
     """SIMPER contributions for every pair of groups.
 
     For each between-group pair of units (i, j) the contribution of taxon t
-    is |x_it - x_jt| / sum_t'(x_it' + x_jt'); per taxon the mean (average),
-    sd, ratio, the group means (ava, avb) and cumulative share of the sorted
-    averages (ties in taxon order).  Each pair of groups is one ``applyInPandas`` task on its
-    (bounded) unit x taxon matrix.
+    is |x_it - x_jt| / (total_i + total_j); per taxon the mean (average), sd,
+    ratio, the group means (ava, avb) and the cumulative share of the sorted
+    averages (ties in taxon order; averages compared at 1e-12).
+
+    As |a - b| is |a| + |b| less an overlap that only shared taxa have, the
+    sums over all pairs are the units' own amounts weighted by
+    ``sum_j 1 / (total_i + total_j)``, less a sum over pairs that share the
+    taxon; squares likewise.  Pairs are made block by block (``pairs_within``),
+    summed where they are made, and nothing is held per group.
 
     With ``permutations`` > 0 a column ``p`` holds the permutation p-value
     (share of seeded label permutations whose average is at least the
     observed one, (k + 1) / (n + 1)); labels are permuted among the units of
-    the two groups compared."""
-    import zlib
-
-    import numpy as np
-    import pandas as pd
-
-    _check_units(long, [unit], max_units)
-    x = long.select(F.col(unit).cast("string").alias("unit"), F.col(group).cast("string").alias("grp"),
-                    F.col(taxa_var).cast("string").alias("taxon"), F.col(value).cast("double").alias("v"))
-    labels = [r[0] for r in x.select("grp").distinct().limit(MAX_GROUPS + 1).collect()]
-    if len(labels) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups")
-    pairs = [(a, b) for a in sorted(labels) for b in sorted(labels) if a < b]
-    if not pairs:
-        return long.sparkSession.createDataFrame([], "group_a string, group_b string, taxon string, "
-                                                      "average double, sd double, ratio double, ava double, "
-                                                      "avb double, cumsum double")
-    # each row goes to every (bounded) pair of groups that contains its group
-    lit_pairs = F.array(*[F.struct(F.lit(a).alias("ga"), F.lit(b).alias("gb")) for a, b in pairs])
-    both = (x.withColumn("__p", F.explode(F.filter(lit_pairs, lambda p: (p["ga"] == F.col("grp"))
-                                                                       | (p["gb"] == F.col("grp")))))
-             .select(F.col("__p.ga").alias("ga"), F.col("__p.gb").alias("gb"), "unit", "grp", "taxon", "v"))
-
-    schema = ("group_a string, group_b string, taxon string, average double, sd double, ratio double, "
-              "ava double, avb double, cumsum double" + (", p double" if permutations else ""))
-
-    def contributions(A, B):
-        tot = A.sum(axis=1)[:, None] + B.sum(axis=1)[None, :]          # i x j
-        diff = np.abs(A[:, None, :] - B[None, :, :]) / tot[:, :, None]  # i x j x taxa
-        return diff.reshape(-1, A.shape[1])
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        g_a, g_b = pdf["ga"].iloc[0], pdf["gb"].iloc[0]
-        m = pdf.pivot_table(index=["grp", "unit"], columns="taxon", values="v", aggfunc="sum", fill_value=0.0)
-        taxa = list(m.columns)
-        A = m.loc[g_a].to_numpy(dtype=float)
-        B = m.loc[g_b].to_numpy(dtype=float)
-        contrib = contributions(A, B)
-        avg = contrib.mean(axis=0)
-        sd = contrib.std(axis=0, ddof=1) if contrib.shape[0] > 1 else np.full(len(taxa), np.nan)
-        out = pd.DataFrame({"group_a": g_a, "group_b": g_b, "taxon": taxa, "average": avg, "sd": sd,
-                            "ratio": avg / sd, "ava": A.mean(axis=0), "avb": B.mean(axis=0)})
-        # ties broken by taxon; averages compared at 1e-12 so summation
-        # noise cannot reorder equal contributions
-        out = out.assign(__k=out["average"].round(12)).sort_values(["__k", "taxon"], ascending=[False, True],
-                                                                   kind="mergesort").drop(columns="__k")
-        out["cumsum"] = out["average"].cumsum() / out["average"].sum()
-        if permutations:
-            pooled = np.vstack([A, B])
-            rng = np.random.default_rng([seed, zlib.crc32(f"{g_a}|{g_b}".encode())])  # stable per pair
-            hits = np.zeros(len(taxa))
-            for _ in range(permutations):
-                idx = rng.permutation(len(pooled))
-                pa, pb = pooled[idx[:len(A)]], pooled[idx[len(A):]]
-                hits += contributions(pa, pb).mean(axis=0) >= avg - 1e-12
-            p_by_taxon = dict(zip(taxa, (hits + 1) / (permutations + 1)))
-            out["p"] = out["taxon"].map(p_by_taxon)
-        return out
-
-    return both.groupBy("ga", "gb").applyInPandas(run, schema)
+    the two groups compared, see ``permuted_sides``.
+
+    A NULL group, unit or taxon is one of its own (NULL groups come first); a
+    NULL value counts 0; two units without any amount do not differ; one pair
+    of units alone has no sd; an sd below 1e-7 of the average is rounding and
+    0, without a ratio."""
+    x = _simper_input(long, unit, group, taxa_var, value)
+    units = x.select("g", "u", "m", "tot").distinct()
+    blocks = F.lit(max(1, -(-units.count() // BLOCK_ROWS)))
+    whole = F.col("l.tot") + F.col("r.tot")
+    per = F.when(whole != 0, 1 / whole).otherwise(0.0)
+    met = pairs_within(units, [], "m", blocks, ["g", "u", "m", "tot"]).where(F.col("l.g") != F.col("r.g"))
+    ends = F.array(F.struct("l.g", "l.u", F.col("r.g").alias("h")), F.struct("r.g", "r.u", F.col("l.g").alias("h")))
+    weights = (met.select(per.alias("w"), F.explode(ends).alias("e"))
+               .groupBy("e.g", "e.u", "e.h").agg(F.sum("w").alias("w"), F.sum(F.col("w") * F.col("w")).alias("w2")))
+    first = F.col("g") < F.col("h")
+    ordered = [F.least("g", "h").alias("ga"), F.greatest("g", "h").alias("gb")]
+    alone = x.join(weights, ["g", "u"]).select(
+        *ordered, "t", (F.abs("v") * F.col("w")).alias("s1"), (F.col("v") * F.col("v") * F.col("w2")).alias("s2"),
+        F.when(first, F.col("v")).alias("va"), F.when(~first, F.col("v")).alias("vb"))
+    shared = pairs_within(_block_count(x, ["t"]), ["t"], "m", F.col("__blocks"), ["g", "m", "v", "tot"])
+    a, b = F.col("l.v"), F.col("r.v")
+    none = F.lit(None).cast("double")
+    shared = shared.where(F.col("l.g") != F.col("r.g")).select(
+        F.least("l.g", "r.g").alias("ga"), F.greatest("l.g", "r.g").alias("gb"), "t",
+        (-_overlap(a, b) * per).alias("s1"), (-2 * a * b * per * per).alias("s2"), none.alias("va"), none.alias("vb"))
+    sums = alone.unionByName(shared).groupBy("ga", "gb", "t").agg(
+        *[F.sum(c).alias(c) for c in ("s1", "s2")], *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ("va", "vb")])
+    sizes = units.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    got = (sums.join(sizes.select(F.col("g").alias("ga"), F.col("n").alias("na")), "ga")
+           .join(sizes.select(F.col("g").alias("gb"), F.col("n").alias("nb")), "gb")
+           .withColumn("n", F.col("na") * F.col("nb")))
+    mean = F.col("s1") / F.col("n")
+    spread = F.col("s2") - F.col("s1") * mean
+    sd = F.when(F.col("n") > 1, F.when(spread > 1e-14 * F.col("s2"), F.sqrt(spread / F.when(F.col("n") > 1, F.col("n") - 1)))
+                .otherwise(0.0))
+    got = got.select("ga", "gb", "t", "n", mean.alias("average"), sd.alias("sd"), (F.col("va") / F.col("na")).alias("ava"),
+                     (F.col("vb") / F.col("nb")).alias("avb"))
+    if permutations:
+        got = got.join(_permutation_hits(x, units, got, permutations, seed), ["ga", "gb", "t"])
+    taxon = _value_of(F.col("t"))
+    w = Window.partitionBy("ga", "gb")
+    sofar = w.orderBy(F.round("average", 12).desc(), taxon).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = F.sum("average").over(w)
+    out = got.select(
+        _value_of(F.col("ga")).alias("group_a"), _value_of(F.col("gb")).alias("group_b"), taxon.alias("taxon"), "average",
+        "sd", F.when(F.col("sd") > 0, F.col("average") / F.col("sd")).alias("ratio"), "ava", "avb",
+        F.when(total > 0, F.sum("average").over(sofar) / total).alias("cumsum"), *(["hits"] if permutations else []))
+    if permutations:
+        out = out.withColumn("p", (F.col("hits") + 1) / (permutations + 1)).drop("hits")
+    return out
+
+
+def permuted_sides(units: DataFrame, permutations: int, seed: int) -> DataFrame:
+    """For every pair of groups and each of their units the sides it takes in
+    the permutations: ``ga, gb, m`` and bit masks ``s0, s1, ...`` of
+    ``MASK_BITS`` permutations each (bit set: on the side of ``gb``).
+
+    Permutation ``r`` puts the units whose
+    ``md5(seed|r|group_a|group_b|group|unit)`` are the smallest on the side of
+    ``group_a``, as many as that group has.  (Ranking the units of two groups
+    is small beside their pairs, which are needed in any case.)
+    """
+    sizes = units.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    a, b = sizes.select(F.col("g").alias("ga"), F.col("n").alias("na")), sizes.select(F.col("g").alias("gb"))
+    pools = a.join(b, F.col("ga") < F.col("gb"))
+    members = units.join(pools, (F.col("g") == F.col("ga"))).unionByName(units.join(pools, (F.col("g") == F.col("gb"))))
+    names = [_value_of(F.col(c)) for c in ("ga", "gb", "g", "u")]
+    drawn = members.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
+    draw = F.md5(F.concat_ws("|", F.lit(str(seed)), (F.col("r") + 1).cast("string"), *names).cast("binary"))
+    rank = F.row_number().over(Window.partitionBy("ga", "gb", "r").orderBy(draw, "m"))
+    drawn = drawn.withColumn("far", rank > F.col("na")).where("far")
+    masks = [F.bit_or(F.when((F.col("r") >= at) & (F.col("r") < at + MASK_BITS),
+                             F.expr(f"shiftleft(1L, r - {at})")).otherwise(F.lit(0).cast("long"))).alias(f"s{i}")
+             for i, at in enumerate(range(0, permutations, MASK_BITS))]
+    found = drawn.groupBy("ga", "gb", "m").agg(*masks)
+    names = [f"s{i}" for i in range(len(masks))]
+    return (members.select("ga", "gb", "g", "u", "m", "tot").join(found, ["ga", "gb", "m"], "left")
+            .fillna(0, subset=names))
+
+
+def _permutation_hits(x: DataFrame, units: DataFrame, observed: DataFrame, permutations: int, seed: int) -> DataFrame:
+    """Per pair of groups and taxon the permutations whose average is at least
+    the observed one (``hits``): every permutation is a column of the same
+    sums, which count a pair of units where its two sides differ."""
+    sides = permuted_sides(units, permutations, seed).checkpoint()
+    masks = [c for c in sides.columns if c[0] == "s" and c[1:].isdigit()]
+    cols = [f"p{r}" for r in range(permutations)]
+    whole = F.col("l.tot") + F.col("r.tot")
+    per = F.when(whole != 0, 1 / whole).otherwise(0.0)
+
+    def apart(r: int) -> Column:
+        s = masks[r // MASK_BITS]
+        return F.getbit(F.col(f"l.{s}").bitwiseXOR(F.col(f"r.{s}")), F.lit(r % MASK_BITS))
+
+    def summed(amount: Column) -> list[Column]:
+        return [F.sum(amount * apart(r)).alias(c) for r, c in enumerate(cols)]
+
+    pool = ["ga", "gb"]
+    met = pairs_within(_block_count(sides, pool), pool, "m", F.col("__blocks"), ["m", "tot", *masks])
+    weights = (met.select(*pool, F.explode(F.array("l.m", "r.m")).alias("m"), "l", "r")
+               .groupBy(*pool, "m").agg(*summed(per)))
+    own = x.select("m", "t", "v")
+    alone = own.join(weights, "m").groupBy(*pool, "t").agg(*[F.sum(F.abs("v") * F.col(c)).alias(c) for c in cols])
+    placed = sides.join(own, "m")
+    shared = pairs_within(_block_count(placed, [*pool, "t"]), [*pool, "t"], "m", F.col("__blocks"), ["m", "v", "tot", *masks])
+    shared = shared.groupBy(*pool, "t").agg(*summed(-_overlap(F.col("l.v"), F.col("r.v")) * per))
+    sums = alone.unionByName(shared).groupBy(*pool, "t").agg(*[F.sum(c).alias(c) for c in cols])
+    got = observed.select(*pool, "t", "average", "n").join(sums, [*pool, "t"])
+    reached = [F.when(F.col(c) >= (F.col("average") - 1e-12) * F.col("n"), 1).otherwise(0) for c in cols]
+    return got.select(*pool, "t", F.aggregate(F.array(*reached), F.lit(0), lambda s, v: s + v).alias("hits"))
 
 
 def top_taxa_summary(df: DataFrame, ranking: DataFrame, taxa_var: str, score: str, x: str, y: str,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harmonia.frame import Result, null_safe_join, require_columns
@@ -138,3 +138,22 @@ def strip_unit_number(col):
     """'10x' / '1 meter' style text -> its leading number (NULL if none)."""
     c = F.col(col) if isinstance(col, str) else col
     return F.regexp_extract(c.cast("string"), r"^\s*([0-9]+(\.[0-9]+)?)", 1).try_cast("double")
+
+
+def recode_by_date(df: DataFrame, target: str, rules: list[tuple], date_col: str = "Date", default=None) -> DataFrame:
+    """``target`` from other columns and date bounds.  A rule is (value,
+    {column: value it must have}, first date or None, last date or None), dates
+    inclusive; the first rule that fits wins, a NULL date fits no bound, and
+    ``default`` (a value or column) stands where no rule fits."""
+    day, out = F.col(date_col).cast("date"), None
+    for value, where, first, last in rules:
+        fits = F.lit(True)
+        for c, v in where.items():
+            fits = fits & (F.col(c) == v)
+        if first is not None:
+            fits = fits & (day >= F.lit(first).cast("date"))
+        if last is not None:
+            fits = fits & (day <= F.lit(last).cast("date"))
+        out = F.when(fits, value) if out is None else out.when(fits, value)
+    default = default if isinstance(default, Column) else F.lit(default)
+    return df.withColumn(target, default if out is None else out.otherwise(default))

@@ -120,6 +120,19 @@ def running_count(df: DataFrame, col: str, order_cols: list[str], name: str = "x
     return out.select(*df.columns, name)
 
 
+def number_rows(df: DataFrame, order_cols: list[str], name: str = "row_number") -> DataFrame:
+    """Adds each row's number from 1 in the order of ``order_cols`` (NULLs
+    first): its number within its range partition plus the rows of all earlier
+    partitions.  Only one count per partition is gathered."""
+    d = _range_parts(df, order_cols)
+    w = Window.partitionBy("__pid").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
+    counts = d.groupBy("__pid").agg(F.count(F.lit(1)).alias("__rows"))
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__pid", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
+    out = d.withColumn("__local", F.row_number().over(w)).join(offsets, "__pid")
+    return out.withColumn(name, F.col("__before") + F.col("__local")).select(*df.columns, name)
+
+
 # --- G1-G2 completeness grids ----------------------------------------------------------
 
 def station_count_grid(df: DataFrame, station: str = "Station", date_col: str = "Date") -> DataFrame:

@@ -7,9 +7,7 @@ the few scalars some operators need (medians, date span).
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harmonia.frame import ROW_ID, Result, with_row_id
@@ -25,6 +23,7 @@ from harmonia.operators import reshape as R
 from harmonia.operators import taxonomy as X
 from harmonia.operators.grids import add_event_id, sampling_freq_grid, station_count_grid
 from harmonia.sources.config import applies, step
+from harmonia.sources.readers import ingest_manifest
 
 DENSITIES = ["Cells_per_mL", "Units_per_mL", "Biovolume_per_mL"]
 # Synthesis-level outlier cutoffs (cells, units, biovolume).
@@ -47,6 +46,13 @@ def _merge(res: Result, out) -> Result:
     return Result(out.df, logs)
 
 
+def _ordered(df: DataFrame, order_cols: list[str] | None) -> DataFrame:
+    """``df`` with a row identity from the caller's order; there is no other order to fall back on."""
+    if ROW_ID not in df.columns and not order_cols:
+        raise ValueError(f"give order_cols or a {ROW_ID} column: first rows of a group depend on the order of rows")
+    return with_row_id(df, order_cols)
+
+
 def taxon_chain(df: DataFrame, typos: DataFrame | None, taxa: DataFrame | None, std_type: str = "program",
                 std_sp: bool = True, std_suffix: bool = True, *, typo_order: str | list[str] | None = None,
                 taxa_order: str | list[str] | None = None) -> Result:
@@ -71,8 +77,9 @@ def format_program(df: DataFrame, cfg: dict, typos: DataFrame | None = None, tax
     coordinates -> time text -> metadata -> typos / comments -> unknowns ->
     synonyms -> taxonomy -> duplicate checks -> subset -> combine -> no-data
     -> outliers.  ``cfg`` keys: renames, density ({unit, cell}), comment_col,
-    meta_cols, match_cols, key_cols, subset, outlier_cutoff."""
-    res = Result(R.distinct_rows_keep_id(with_row_id(df)))
+    meta_cols, match_cols, key_cols, subset, outlier_cutoff, order_cols (unless
+    ``df`` has a row id)."""
+    res = Result(R.distinct_rows_keep_id(_ordered(df, cfg.get("order_cols"))))
     if cfg.get("renames"):
         res = _merge(res, P.rename_cols(res.df, cfg["renames"]))
     res = _merge(res, P.remove_taxa_info(res.df))
@@ -115,8 +122,12 @@ def prep_for_synthesis(df: DataFrame, cfg: dict, meta: DataFrame | None = None,
                        taxa_order: str | list[str] | None = None) -> Result:
     """L2: a formatted program to the synthesis form: fixed UTC-8 clock,
     metadata columns, constants, original taxa kept, taxon chain in
-    ``unified`` mode, Event_ID, subset, combine, no-data, outliers."""
-    res = Result(df)
+    ``unified`` mode, Event_ID, subset, combine, no-data, outliers.
+
+    ``cfg``: from_zone, meta_cols, match_cols, constants, loc_col, subset,
+    key_cols, order_cols (unless ``df`` has a row id) and outlier_cutoffs
+    (densities to flag and their cutoffs; 3 for each that is present)."""
+    res = Result(_ordered(df, cfg.get("order_cols")))
     if "Time" in df.columns and cfg.get("from_zone"):
         nd, nt = T.local_to_fixed_offset("Date", "Time", cfg["from_zone"])
         res = Result(res.df.withColumns({"Date": nd, "Time": nt}), res.logs)
@@ -137,7 +148,15 @@ def prep_for_synthesis(df: DataFrame, cfg: dict, meta: DataFrame | None = None,
         res = _merge(res, P.pad_subset(res.df, cfg["subset"]))
     keys = cfg.get("key_cols", ["Event_ID"] if "Event_ID" in res.df.columns else ["Date", "Station"])
     res = _merge(res, CB.combine_taxa(res.df, keys, [c for c in DENSITIES if c in res.df.columns]))
-    return _merge(res, FL.remove_nodata(res.df, [c for c in DENSITIES if c in res.df.columns]))
+    dens = [c for c in DENSITIES if c in res.df.columns]
+    res = _merge(res, FL.remove_nodata(res.df, dens))
+    cutoffs = cfg.get("outlier_cutoffs", {c: 3.0 for c in dens})
+    if not cutoffs:
+        return res
+    res = Result(stage(res.df), res.logs)
+    if "QualityCheck" not in res.df.columns:
+        res = Result(res.df.withColumn("QualityCheck", F.lit("NoCode")), res.logs)
+    return _merge(res, M.flag_all_outliers(res.df, cutoffs))
 
 
 def synthesize(programs: list[DataFrame], recodes: dict[str, dict] | None = None,
@@ -157,9 +176,11 @@ def synthesize(programs: list[DataFrame], recodes: dict[str, dict] | None = None
     dens = [c for c in DENSITIES if c in res.df.columns]
     res = Result(res.df.withColumns({c: F.col(c).try_cast("double") for c in dens}), res.logs)
     res = _merge(res, FL.remove_nodata(res.df, dens))
+    res = Result(stage(res.df), res.logs)  # the union is run once for the table and all statistics
+    stats = M.outlier_stats(res.df, {c: SYNTH_CUTOFFS[c] for c in dens})
+    res.logs["outlier_stats"] = stats
     for c in dens:
-        o = M.flag_outliers(res.df, c, cutoff=SYNTH_CUTOFFS[c], add_flag=False)
-        res.logs[f"outlier_stats_{c}"] = o.logs["outlier_stats"]
+        res.logs[f"outlier_stats_{c}"] = stats.where(F.col("measure") == c).drop("measure", "cutoff")
     res = Result(R.sort_r(res.df, [c for c in sort_cols if c in res.df.columns]), res.logs)
     return res
 
@@ -211,72 +232,177 @@ def community_checks(df: DataFrame, unit_cols: list[str], taxa_cols=("Taxon", "G
     return out
 
 
+def format_serial_dates(df: DataFrame) -> DataFrame:
+    """Uploads whose dates are spreadsheet serials and times time stamps."""
+    if "Date" in df.columns:
+        df = df.withColumn("Date", T.excel_serial_to_date("Date"))
+    if "Time" in df.columns:
+        df = df.withColumn("Time", T.time_from_stamp("Time"))
+    return P.remove_taxa_info(P.drop_empty_rows(P.drop_cols_matching(df)))
+
+
+def format_day_first_dates(df: DataFrame) -> DataFrame:
+    """Uploads whose dates are written day, month, year."""
+    if "Date" in df.columns:
+        df = df.withColumn("Date", F.try_to_date(F.col("Date").cast("string"), "d/M/yyyy"))
+    return P.remove_taxa_info(P.drop_empty_rows(df))
+
+
+#: Transform chains that a schema's ``format`` may name; others leave an upload as it is.
+FORMATTERS = {"serial dates": format_serial_dates, "day first dates": format_day_first_dates}
+
+#: Columns that a formatter step reads, and those that it adds for later ones.
+STEP_READS = {
+    "missing_datetime_checks": {"Date", "Time"}, "extreme_time_checks": {"Time"}, "convert_timezone": {"Date", "Time"},
+    "station_checks": {"Station"}, "add_metadata": {"Date"}, "add_comment_cols": {"Taxon"}, "correct_taxon_typos": {"Taxon"},
+    "standardize_unknowns": {"Taxon"}, "update_synonyms": {"Taxon"}, "higher_lvl_taxa": {"Taxon"}, "combine_taxa": {"Taxon"},
+}
+STEP_ADDS = {
+    "calc_densities": {"Units_per_mL", "Cells_per_mL", "Biovolume_per_mL"}, "add_comment_cols": {"QualityCheck", "Debris", "Notes"},
+    "update_synonyms": {"OrigTaxon"}, "higher_lvl_taxa": {"Kingdom", "Phylum", "Class", "AlgalGroup", "Genus", "Species"},
+}
+STEP_ORDER = ["duplicate_checks", "missing_datetime_checks", "extreme_time_checks", "station_checks", "convert_timezone",
+              "na_checks", "add_metadata", "calc_densities", "add_comment_cols", "correct_taxon_typos",
+              "standardize_unknowns", "update_synonyms", "higher_lvl_taxa", "combine_taxa", "subset_cols"]
+
+
+def compile_preset(schema: dict, preset: str, columns: list[str], tables: dict) -> list[tuple[str, str]]:
+    """What a preset comes to on uploads with ``columns``: (step, "run" or why
+    it is left out), in the order of the steps.
+
+    A step that applies but whose columns neither the uploads nor an earlier
+    step provide is an error here, before any data is read, as is a step that
+    no formatter has; a step whose reference table is not given is left out."""
+    unknown = set(schema.get("steps", {})) - set(STEP_ORDER)
+    if unknown:
+        raise ValueError(f"unknown step(s): {', '.join(sorted(unknown))}")
+    have, plan, short = set(columns), [], []
+    for name in STEP_ORDER:
+        reads, adds = set(STEP_READS.get(name, ())), set(STEP_ADDS.get(name, ()))
+        needs = {"add_metadata": "meta", "correct_taxon_typos": "typos", "update_synonyms": "taxa", "higher_lvl_taxa": "taxa"}.get(name)
+        if name == "calc_densities" and schema.get("density"):
+            reads |= {schema["density"]["unit"], schema["density"]["cell"]}
+        if name == "combine_taxa":
+            reads |= set(schema.get("combine_key_cols", ["Date", "Station"]))
+        if name == "add_metadata":
+            adds |= set(schema.get("metadata_columns", {}).get(preset, []))
+        if not applies(schema, name, preset):
+            plan.append((name, "does not apply"))
+        elif needs and tables.get(needs) is None:
+            plan.append((name, f"no {needs} table"))
+        elif name == "calc_densities" and not schema.get("density"):
+            plan.append((name, "no density columns named"))
+        elif name == "subset_cols" and not schema.get("subset_cols", {}).get(preset):
+            plan.append((name, "no columns named"))
+        elif name in ("missing_datetime_checks", "extreme_time_checks", "convert_timezone", "station_checks") and not reads <= have:
+            plan.append((name, "no such columns"))
+        elif not reads <= have:
+            short.append(f"{name}: {', '.join(sorted(reads - have))}")
+        else:
+            plan.append((name, "run"))
+            have |= adds
+    if short:
+        raise ValueError(f"preset {preset!r} lacks columns for " + "; ".join(short))
+    return plan
+
+
 def formatter_batch(frames: list[DataFrame], schema: dict, preset: str, meta: DataFrame | None = None,
-                    typos: DataFrame | None = None, taxa: DataFrame | None = None, *,
-                    typo_order: str | list[str] | None = None, taxa_order: str | list[str] | None = None) -> Result:
+                    typos: DataFrame | None = None, taxa: DataFrame | None = None, *, order_cols: list[str] | None = None,
+                    stations: list[str] | None = None, typo_order: str | list[str] | None = None,
+                    taxa_order: str | list[str] | None = None) -> Result:
     """The interactive formatter as one batch job, driven by a survey
-    schema: standardise columns, union uploads, checks, timezone, metadata,
-    comment codes, densities, taxon chain, combine, subset.  Each step runs
-    only if ``steps.<step>.<preset>.applies``.  Densities run before the
-    comment codes so UnitsExceedCells can fire."""
+    schema: standardise columns, union uploads, the survey's own formatter,
+    checks, timezone, metadata, comment codes, densities, taxon chain,
+    combine, subset.  ``compile_preset`` decides the steps and is kept in the
+    log ``steps``.  Densities run before the comment codes so UnitsExceedCells
+    can fire.  Rows need an order: ``order_cols`` or a row id column."""
     std = [P.standardize_columns(f, schema.get("mapping", {})) for f in frames]
-    res = Result(R.union_by_name(std))
-    if applies(schema, "duplicate_checks", preset):
-        d = with_row_id(res.df)
-        res.logs["duplicate_rows"] = CK.duplicate_rows(d.drop(ROW_ID))
-        res = Result(R.distinct_rows_keep_id(d), res.logs)
-    if applies(schema, "missing_datetime_checks", preset):
+    df = P.dispatch(R.union_by_name(std), schema.get("format", ""), FORMATTERS)
+    plan = compile_preset(schema, preset, df.columns, {"meta": meta, "typos": typos, "taxa": taxa})
+    run = {name for name, what in plan if what == "run"}
+    res = Result(_ordered(df, order_cols))
+    res.logs["steps"] = df.sparkSession.createDataFrame(plan, "step string, status string")
+    keys = schema.get("combine_key_cols", ["Date", "Station"])
+    if "duplicate_checks" in run:
+        res.logs["duplicate_rows"] = CK.duplicate_rows(res.df.drop(ROW_ID))
+        res = Result(R.distinct_rows_keep_id(res.df), res.logs)
+        if set(keys) | {"Taxon"} <= set(df.columns):
+            res.logs["duplicate_keys"] = CK.duplicate_rows(res.df.drop(ROW_ID), [*keys, "Taxon"])
+    if "missing_datetime_checks" in run:
         res.logs["datetime_issues"] = CK.check_datetime(res.df)
-    if applies(schema, "extreme_time_checks", preset) and "Time" in res.df.columns:
+    if "extreme_time_checks" in run:
+        if step(schema, "extreme_time_checks", preset).get("military"):
+            res = _merge(res, CK.convert_to_military(res.df))
         res.logs["extreme_times"] = CK.check_extreme_times(res.df)
-    if applies(schema, "convert_timezone", preset) and {"Date", "Time"} <= set(res.df.columns):
+    if "station_checks" in run and stations is not None:
+        known = df.sparkSession.createDataFrame([(s,) for s in stations], "Station string")
+        res.logs["unknown_stations"] = res.df.select("Station").distinct().join(known, "Station", "left_anti")
+    if "convert_timezone" in run:
         tz = step(schema, "convert_timezone", preset).get("from_tz", "PST/PDT")
+        res.logs["timezone_preview"] = T.timezone_preview(res.df, tz)
         res = Result(res.df.withColumn("Time", T.shift_clock("Date", "Time", tz)), res.logs)
-    if applies(schema, "na_checks", preset):
+    if "na_checks" in run:
         res.logs["na_check"] = CK.check_nas(res.df)
-    if applies(schema, "add_metadata", preset) and meta is not None:
+    if "add_metadata" in run:
         cols = schema.get("metadata_columns", {}).get(preset, [])
         res = _merge(res, J.add_metadata_first(res.df, meta, cols, start="start_date", end="end_date"))
-    if applies(schema, "calc_densities", preset) and schema.get("density"):
+    if "calc_densities" in run:
         d = schema["density"]
         res = _merge(res, M.calc_density_factor(res.df, d["unit"], d["cell"]))
-    if applies(schema, "add_comment_cols", preset):
+    if "add_comment_cols" in run:
         cc = schema.get("comment_col")
         cc = cc if cc in res.df.columns else None
         res = _merge(res, X.add_qc_col(res.df, cc))
         res = _merge(res, X.add_debris_col(res.df, cc))
         res = _merge(res, X.add_notes_col(res.df, cc))
-    if applies(schema, "correct_taxon_typos", preset) and typos is not None:
+    if "correct_taxon_typos" in run:
         res = _merge(res, X.correct_taxon_typos(res.df, typos, order=typo_order))
-    if applies(schema, "standardize_unknowns", preset):
+    if "standardize_unknowns" in run:
         o = step(schema, "standardize_unknowns", preset)
         res = _merge(res, X.clean_unknowns(res.df, o.get("std_sp", True), o.get("std_suffix", True)))
-    if applies(schema, "update_synonyms", preset) and taxa is not None:
+    if "update_synonyms" in run:
         res = _merge(res, X.update_synonyms(res.df, taxa, order=taxa_order))
-    if applies(schema, "higher_lvl_taxa", preset) and taxa is not None:
+    if "higher_lvl_taxa" in run:
         mode = step(schema, "higher_lvl_taxa", preset).get("std_type", "program")
         res = _merge(res, X.higher_lvl_taxa(res.df, taxa, "unified" if mode != "program" else "program"))
-    if applies(schema, "combine_taxa", preset):
-        res = _merge(res, CB.combine_taxa(res.df, schema.get("combine_key_cols", ["Date", "Station"]),
-                                          schema.get("combine_measurement_cols", DENSITIES)))
-    if applies(schema, "subset_cols", preset) and schema.get("subset_cols", {}).get(preset):
+    measures = [c for c in schema.get("combine_measurement_cols", DENSITIES) if c in res.df.columns]
+    if set(keys) | {"Taxon"} <= set(res.df.columns):
+        # C7-C9 over what is about to be combined
+        rows = res.df.drop(ROW_ID)
+        res.logs["nondistinct_rows"] = CK.check_distinct(rows)
+        res.logs["nondistinct_measures"] = CK.check_distinct(rows, "key_measure_cols", key_cols=keys, measurement_cols=measures)
+        res.logs["nondistinct_keys"] = CK.check_distinct(rows, "key_cols", key_cols=keys)
+    if "combine_taxa" in run:
+        res = _merge(res, CB.combine_taxa(res.df, keys, measures))
+    if "subset_cols" in run:
         res = _merge(res, P.pad_subset(res.df, schema["subset_cols"][preset]))
     return res
 
 
+def format_uploads(spark: SparkSession, files: list[str], schema: dict, preset: str, *, seen=None,
+                   manifest_path: str | None = None, **kwargs) -> tuple[DataFrame, Result]:
+    """L7 from files: ingest (S8), then ``formatter_batch`` over the rows of the valid ones.
+    Returns the manifest and the formatted table."""
+    manifest, rows = ingest_manifest(spark, files, schema, seen, manifest_path)
+    return manifest, formatter_batch([rows.drop("_other")], schema, preset, **kwargs)
+
+
 def standardize_lab_columns(df: DataFrame, rename_map: dict[str, str], keep: list[str],
-                            density: dict | None = None) -> DataFrame:
+                            density: dict | None = None, meta: DataFrame | None = None,
+                            method_col: str = "SampleMethod", date_cols: tuple[str, ...] = (), **meta_range) -> DataFrame:
     """Fixed column standardisers: drop measurement/dimension
-    columns and empty rows, rename, optional densities and growth form,
-    fixed select (absent columns padded)."""
+    columns and empty rows, rename, dates from mixed text (T3, ``date_cols``),
+    optional densities, growth form, the sampling method by date range (J1,
+    from ``meta``; ``meta_range``: start, end, today), fixed select (absent
+    columns padded)."""
     d = P.drop_empty_rows(P.drop_cols_matching(df, r"^(Dimension|Measure)"))
     d = P.rename_cols(d, rename_map).df
+    if date_cols:
+        d = d.withColumns({c: T.parse_date_multi(c) for c in date_cols})
     if density:
         d = M.calc_density_factor(d, density["unit"], density["cell"])
     if "PhytoForm" in d.columns:
         d = FL.clean_phytoform(d)
+    if meta is not None:
+        d = J.from_meta(d.drop(method_col), meta, [method_col], **meta_range)
     return P.pad_subset(d, keep)
-
-
-def union_frames(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -237,11 +237,14 @@ def c12_check_count_issue(spark, sf):
     return CK.check_count_issue(df, "Cells_per_mL", "Units_per_mL")
 
 
-@query("c13_check_non_numeric", with_fixtures(
-    "SELECT DISTINCT ValueText FROM ev_survey WHERE ValueText IS NOT NULL AND TRY_CAST(ValueText AS DOUBLE) IS NULL",
-    "ev_survey"))
+@query("c13_check_non_numeric", with_fixtures("""
+WITH n AS (SELECT ValueText, row_number() OVER (ORDER BY event_id) AS row FROM ev_survey),
+bad AS (SELECT ValueText, row, row_number() OVER (PARTITION BY ValueText ORDER BY row) AS nth FROM n
+        WHERE ValueText IS NOT NULL AND TRY_CAST(ValueText AS DOUBLE) IS NULL)
+SELECT ValueText, list(row ORDER BY row) FILTER (nth <= 10) AS row_numbers FROM bad GROUP BY ValueText
+""", "ev_survey"))
 def c13_check_non_numeric(spark, sf):
-    return CK.check_non_numeric(fixture(spark, sf, "ev_survey"), "ValueText")
+    return CK.check_non_numeric(fixture(spark, sf, "ev_survey"), "ValueText", ["event_id"])
 
 
 @query("c14_unique_values", "SELECT DISTINCT c_mktsegment FROM customer")
@@ -414,11 +417,31 @@ def c26_time_mismatch(spark, sf):
     return CK.time_mismatch(a, b)
 
 
+def _c27(spark, sf):
+    df = fixture(spark, sf, "ev_survey").withColumn("Sortable_ID", F.col("Station"))
+    return CK.program_logs(df.withColumn("Latitude", F.when(F.col("Cells_per_mL") > 20, F.col("Latitude"))))
+
+
 @query("c27_duplicate_ids", """
 SELECT o_custkey, count(*) AS "count" FROM orders GROUP BY o_custkey HAVING count(*) > 1
 """)
 def c27_duplicate_ids(spark, sf):
-    return load(spark, sf, "orders").groupBy("o_custkey").count().where(F.col("count") > 1)
+    o = load(spark, sf, "orders").select("o_custkey", *[F.lit(None).alias(c) for c in ("Latitude", "Longitude", "Date", "Time")])
+    return CK.program_logs(o, "o_custkey")["sortable_check"].withColumnRenamed("n", "count")
+
+
+@query("c27_missing_latlon", with_fixtures("""
+SELECT DISTINCT Date, Time, Station AS Sortable_ID, CASE WHEN Cells_per_mL > 20 THEN Latitude END AS Latitude, Longitude
+FROM ev_survey WHERE Cells_per_mL <= 20 OR Cells_per_mL IS NULL OR Latitude IS NULL OR Longitude IS NULL
+""", "ev_survey"))
+def c27_missing_latlon(spark, sf):
+    return _c27(spark, sf)["missing_latlon"]
+
+
+@query("c27_missing_time", with_fixtures(
+    "SELECT DISTINCT Date, Time, Station AS Sortable_ID FROM ev_survey WHERE Time IS NULL", "ev_survey"))
+def c27_missing_time(spark, sf):
+    return _c27(spark, sf)["missing_time"]
 
 
 @query("c28_station_set_difference", """
@@ -532,10 +555,13 @@ def t6_convert_timezone_pst(spark, sf):
     f"SELECT DISTINCT Date, Time FROM ord_time WHERE Time IS NOT NULL AND regexp_matches(Time, {_VALID}) "
     f"AND NOT {_DST}", "ord_time"))
 def t7_timezone_preview(spark, sf):
-    df = fixture(spark, sf, "ord_time")
-    valid = F.col("Time").isNotNull() & F.col("Time").rlike(T.VALID_TIME)
-    return df.where(valid & ~T.in_us_dst(F.col("Date"))).select("Date", "Time").distinct() \
-        .orderBy("Date", "Time")
+    return T.timezone_preview(fixture(spark, sf, "ord_time"), "PST/PDT")
+
+
+@query("t7_timezone_preview_pst", with_fixtures(
+    f"SELECT DISTINCT Date, Time FROM ord_time WHERE Time IS NOT NULL AND regexp_matches(Time, {_VALID})", "ord_time"))
+def t7_timezone_preview_pst(spark, sf):
+    return T.timezone_preview(fixture(spark, sf, "ord_time"), "PST")
 
 
 @query("t10_month_keys", with_fixtures(

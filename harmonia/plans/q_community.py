@@ -119,12 +119,39 @@ def a7_simper(spark, sf):
     return rounded(out, ["average", "sd", "ratio", "ava", "avb", "cumsum"], 9)
 
 
-@query("a7_simper_permutation_p")
+_A7_P_SQL = with_fixtures(f"""
+WITH x AS (SELECT CAST(nation AS VARCHAR) AS unit, CAST(region AS VARCHAR) AS grp, Taxon AS taxon,
+                  CAST(coalesce(sum(qty), 0.0) AS DOUBLE) AS v FROM nation_brand GROUP BY ALL),
+units AS (SELECT unit, grp, sum(v) AS tot FROM x GROUP BY ALL),
+sizes AS (SELECT grp, count(*) AS n FROM units GROUP BY grp),
+pools AS (SELECT a.grp AS ga, b.grp AS gb, a.n AS na FROM sizes a, sizes b WHERE a.grp < b.grp),
+members AS (SELECT p.ga, p.gb, p.na, u.* FROM pools p JOIN units u ON u.grp IN (p.ga, p.gb)),
+ranked AS (SELECT m.*, r, row_number() OVER (PARTITION BY ga, gb, r ORDER BY
+             md5('42|' || r || '|' || ga || '|' || gb || '|' || grp || '|' || unit)) AS place
+           FROM members m, (SELECT unnest(range(1, 101)) AS r)),
+sides AS (SELECT ga, gb, unit, tot, r, place > na AS far FROM ranked
+          UNION ALL SELECT ga, gb, unit, tot, 0, grp = gb FROM members),
+taxa AS (SELECT DISTINCT p.ga, p.gb, x.taxon FROM pools p JOIN x ON x.grp IN (p.ga, p.gb)),
+c AS (SELECT a.ga, a.gb, a.r, t.taxon,
+             avg(abs(coalesce(xa.v, 0.0) - coalesce(xb.v, 0.0)) / (a.tot + b.tot)) AS average
+      FROM sides a JOIN sides b ON a.ga = b.ga AND a.gb = b.gb AND a.r = b.r AND NOT a.far AND b.far
+      JOIN taxa t ON t.ga = a.ga AND t.gb = a.gb
+      LEFT JOIN x xa ON xa.unit = a.unit AND xa.taxon = t.taxon
+      LEFT JOIN x xb ON xb.unit = b.unit AND xb.taxon = t.taxon
+      GROUP BY ALL)
+SELECT o.ga AS group_a, o.gb AS group_b, o.taxon, {rnd('o.average', 9)} AS average,
+       round((count(*) FILTER (c.average >= o.average - 1e-12) + 1) / 101.0, 9) AS p
+FROM c o JOIN c ON c.ga = o.ga AND c.gb = o.gb AND c.taxon = o.taxon AND c.r > 0
+WHERE o.r = 0 GROUP BY o.ga, o.gb, o.taxon, o.average
+""", "nation_brand")
+
+
+@query("a7_simper_permutation_p", _A7_P_SQL)
 def a7_simper_permutation_p(spark, sf):
-    """Permutation p-values (seeded, 100 permutations); no SQL oracle since
-    they come from random label permutations -- see tests for the checks."""
+    """Permutation p-values over 100 seeded permutations; the oracle draws the same labels."""
     lng = CM.community_long(fixture(spark, sf, "nation_brand"), ["nation", "region"], "qty", "Taxon")
-    return CM.simper(lng, "nation", "region", permutations=100).select("group_a", "group_b", "taxon", "average", "p")
+    out = CM.simper(lng, "nation", "region", permutations=100).select("group_a", "group_b", "taxon", "average", "p")
+    return rounded(out, ["average", "p"], 9)
 
 
 @query("a8_top_taxa_summary", with_fixtures("""

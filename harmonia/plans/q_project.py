@@ -269,14 +269,12 @@ SELECT o_orderkey,
 FROM orders
 """)
 def f5_date_recode(spark, sf):
-    o = load(spark, sf, "orders")
-    d = F.to_date("o_orderdate")
-    st = F.col("o_orderstatus")
-    return o.select("o_orderkey",
-                    F.when((st == "F") & (d < F.lit("1998-01-01").cast("date")), "Net")
-                    .when(st == "F", "Grab").otherwise("Pump").alias("SampleMethod"),
-                    F.when((F.col("o_orderpriority") == "1-URGENT") & (d >= F.lit("2000-06-01").cast("date")),
-                           "Bottom").otherwise("Surface").alias("DepthType"))
+    o = load(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
+    o = FL.recode_by_date(o, "SampleMethod", [("Net", {"o_orderstatus": "F"}, None, "1997-12-31"),
+                                              ("Grab", {"o_orderstatus": "F"}, None, None)], "o_orderdate", "Pump")
+    o = FL.recode_by_date(o, "DepthType", [("Bottom", {"o_orderpriority": "1-URGENT"}, "2000-06-01", None)],
+                          "o_orderdate", "Surface")
+    return o.select("o_orderkey", "SampleMethod", "DepthType")
 
 
 _F6_CORR = ("SELECT o.o_custkey, min(o.o_orderstatus) AS sampler FROM orders o JOIN customer c "

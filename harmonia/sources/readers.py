@@ -13,7 +13,7 @@ import os
 import re
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,30 +128,120 @@ def build_metadata(sheet: DataFrame, fill_cols: list[str], order_col: str,
 
 # --- S8 ingest manifest ---------------------------------------------------------------
 
-def ingest_manifest(spark: SparkSession, files: list[str], schema: dict, seen: list[str] | None = None):
-    """Read each new file, validate it against the survey schema and
-    record (name, status, errors).  Returns (manifest, valid rows unioned by
-    name).  Files already seen are skipped."""
-    from harmonia.operators.checks import validate_file
-    seen = set(seen or [])
-    rows, valid = [], []
-    for p in files:
-        name = os.path.basename(p)
-        if name in seen:
-            continue
-        seen.add(name)
-        try:
-            df = spark.read.option("header", True).option("inferSchema", True).csv(p)
-            errs = [f"{r['column']}: {r['error']}" for r in validate_file(df, schema.get("columns", {})).collect()]
-        except Exception as e:  # noqa: BLE001  an unreadable file is a manifest entry, not a crash
-            df, errs = None, [f"Could not read file: {type(e).__name__}"]
-        status = "valid" if not errs else "invalid"
-        rows.append((name, status, errs))
-        if status == "valid":
-            valid.append(df.withColumn("_source_file", F.lit(name)))
-    manifest = spark.createDataFrame(rows, "name string, status string, errors array<string>")
-    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), valid) if valid else None
-    return manifest, merged
+def _csv_cells(line: Column) -> Column:
+    """The cells of one CSV line: quoted ones without their quotes, empty ones NULL."""
+    raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
+
+    def cell(c: Column) -> Column:
+        bare = F.replace(F.substr(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
+        return F.nullif(F.when(c.startswith('"'), bare).otherwise(F.trim(c)), F.lit(""))
+
+    return F.transform(raw, cell)
+
+
+def read_uploads(spark: SparkSession, files: list[str] | str) -> DataFrame:
+    """Every line of the uploaded CSV files in one scan, with the file it is from
+    (``name``), its cells and the file's ``header`` cells.  Files may have
+    different columns in any order; a cell cannot hold a line break."""
+    lines = spark.read.text(files).select(
+        F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("name"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id")).alias("at"),
+        F.regexp_replace("value", "^\ufeff|\r$", "").alias("line"))
+    lines = lines.where(F.trim("line") != "")
+    heads = lines.groupBy("name").agg(F.min("at").alias("head_at"), F.min_by("line", "at").alias("head"))
+    heads = heads.select("name", "head_at", _csv_cells(F.col("head")).alias("header"))
+    return lines.withColumn("cells", _csv_cells(F.col("line"))).join(heads, "name")
+
+
+def _named(name: str) -> Column:
+    """A line's cell in the column of that name; NULL where the file has none."""
+    return F.get("cells", F.array_position("header", name).cast("int") - 1)
+
+
+def _upload_findings(columns: dict) -> list[Column]:
+    """Per declared column and rule: the error text where the lines of a file break it, else NULL."""
+    data, out = ~F.col("is_head"), []
+
+    def found(name: str, hit: Column, text: str) -> None:
+        out.append(F.max(F.when(hit, F.lit(f"{name}: {text}"))))
+
+    for name, spec in columns.items():
+        v, num = _named(name), _named(name).try_cast("double")
+        if spec.get("required"):
+            found(name, F.coalesce(F.array_position("header", name), F.lit(0)) == 0, "missing required column")
+        if spec.get("type") == "integer":
+            found(name, data & v.isNotNull() & num.isNull(), "not numeric")
+        if spec.get("type") == "character":
+            plain = num.isNotNull() | F.lower(v).isin("true", "false") | F.try_to_date(v, "yyyy-MM-dd").isNotNull()
+            some = F.max(F.when(data & v.isNotNull(), plain.cast("int")))
+            every = F.min(F.when(data & v.isNotNull(), plain.cast("int")))
+            out.append(F.when((some == 1) & (every == 1), F.lit(f"{name}: not character")))
+        if "min" in spec:
+            found(name, data & (num < spec["min"]), "below min")
+        if "max" in spec:
+            found(name, data & (num > spec["max"]), "above max")
+        if spec.get("allowed_values"):
+            found(name, data & v.isNotNull() & ~v.isin(*spec["allowed_values"]), "not allowed")
+    found("line", data & (F.size("cells") != F.size("header")), "number of cells is not that of the header")
+    return out
+
+
+def ingest_manifest(spark: SparkSession, files: list[str], schema: dict, seen: list[str] | DataFrame | None = None,
+                    manifest_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The new files read in one scan and validated in one grouped
+    aggregate.  Returns (manifest: name, status, errors, n_rows; rows of the
+    valid files, ``_source_file`` and the declared columns, numbers as
+    doubles, other columns as a map ``_other``).
+
+    Names seen before (a list, or a manifest's ``name`` column) are skipped, as
+    are repeated names.  A file without a header line, or that cannot be
+    found, is a manifest entry and no crash.  With ``manifest_path`` the
+    manifest is appended there in one atomic Parquet commit, from which
+    ``seen`` is read as well.
+    """
+    from harmonia.session import checkpoint_dir
+    checkpoint_dir(spark)
+    listed = spark.createDataFrame([(os.path.basename(p), p) for p in files], "name string, path string")
+    listed = listed.groupBy("name").agg(F.min("path").alias("path"))
+    known = [seen] if isinstance(seen, DataFrame) else [spark.createDataFrame([(s,) for s in seen], "name string")] if seen else []
+    if manifest_path and _exists(spark, manifest_path):
+        known.append(spark.read.parquet(manifest_path))
+    for k in known:
+        listed = listed.join(k.select("name"), "name", "left_anti")
+    listed = listed.checkpoint()
+    new = [r["path"] for r in listed.collect()]  # names given by the caller, as a list
+    there = [p for p in new if _exists(spark, p)]
+    columns = schema.get("columns", {})
+    if there:
+        rows = read_uploads(spark, there).withColumn("is_head", F.col("at") == F.col("head_at"))
+        rules = _upload_findings(columns)
+        checked = rows.groupBy("name").agg(
+            F.array_compact(F.array(*rules)).alias("errors"), F.count(F.when(~F.col("is_head"), 1)).alias("n_rows"))
+    else:
+        rows = None
+        checked = spark.createDataFrame([], "name string, errors array<string>, n_rows long")
+    absent = F.when(F.col("path").isin(there) if there else F.lit(False), "No header line").otherwise("Could not read file")
+    manifest = (listed.join(checked, "name", "left")
+                .select("name", F.coalesce("errors", F.array(absent)).alias("errors"), F.coalesce("n_rows", F.lit(0)).alias("n_rows")))
+    manifest = manifest.select("name", F.when(F.size("errors") == 0, "valid").otherwise("invalid").alias("status"),
+                               "errors", "n_rows").checkpoint()
+    if manifest_path:
+        manifest.write.mode("append").parquet(manifest_path)
+    kinds = {n: "double" if s.get("type") == "integer" else "string" for n, s in columns.items()}
+    if rows is None:
+        return manifest, spark.createDataFrame([], ", ".join(
+            ["_source_file string", *[f"`{n}` {k}" for n, k in kinds.items()], "_other map<string,string>"]))
+    valid = rows.where(~F.col("is_head")).join(manifest.where("status = 'valid'").select("name"), "name", "left_semi")
+    pairs = F.arrays_zip(F.col("header").alias("k"), F.col("cells").alias("v"))
+    other = F.map_from_entries(F.filter(pairs, lambda x, i: (F.array_position("header", x["k"]) == i + 1)
+                                        & ~x["k"].isin(*kinds, "")))
+    return manifest, valid.select(F.col("name").alias("_source_file"),
+                                  *[_named(n).try_cast(k).alias(n) for n, k in kinds.items()], other.alias("_other"))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 # --- S11 persisted programs ------------------------------------------------------------

@@ -226,6 +226,76 @@ def test_simper_brute_force(spark):
         assert out[f"t{j}"]["ava"] == pytest.approx(A[:, j].mean())
 
 
+def _simper_by_hand(units, groups):
+    """Averages and sds by the definition; units: {(group, unit): {taxon: value}}."""
+    out = {}
+    order = sorted(groups, key=lambda g: (g is not None, g or ""))
+    for i, ga in enumerate(order):
+        for gb in order[i + 1:]:
+            A = [v for (g, _), v in units.items() if g == ga]
+            B = [v for (g, _), v in units.items() if g == gb]
+            for t in {t for v in A + B for t in v}:
+                c = [abs(a.get(t, 0) - b.get(t, 0)) / (sum(a.values()) + sum(b.values())) if sum(a.values()) + sum(b.values())
+                     else 0.0 for a in A for b in B]
+                out[ga, gb, t] = (np.mean(c), np.std(c, ddof=1) if len(c) > 1 else None)
+    return out
+
+
+@pytest.mark.parametrize("rows_per_block", [3, 512])
+def test_simper_many_groups_nulls_and_blocks(spark, monkeypatch, rows_per_block):
+    monkeypatch.setattr(CM, "BLOCK_ROWS", rows_per_block)
+    rnd = random.Random(8)
+    groups = [None, "a", "b", "c"]
+    data = [(u, g, t, float(rnd.randrange(5))) for g in groups for u in [None, "u", "v", "w"][:rnd.randrange(2, 5)]
+            for t in (None, "x", "y", "z") if rnd.random() < 0.7]
+    data += [("empty", "a", "x", 0.0), ("empty", "b", "x", None), ("one", "single", "x", 3.0)]
+    long = spark.createDataFrame(data, "unit string, g string, Taxon string, value double")
+    units = {}
+    for u, g, t, v in data:
+        units.setdefault((g, u), {})[t] = v or 0.0
+    want = _simper_by_hand(units, {g for g, _ in units})
+    got = {(r.group_a, r.group_b, r.taxon): r for r in CM.simper(long, "unit", "g").collect()}
+    assert set(got) == set(want)
+    for k, (mean, sd) in want.items():
+        assert got[k].average == pytest.approx(mean, abs=1e-12)
+        assert got[k].sd == (None if sd is None else pytest.approx(sd, abs=1e-9))
+
+
+def test_simper_takes_more_than_a_hundred_groups(spark):
+    data = [(f"u{i}", f"g{i % 101}", "t", float(i)) for i in range(202)]
+    got = CM.simper(spark.createDataFrame(data, "unit string, g string, Taxon string, value double"), "unit", "g")
+    assert got.count() == 101 * 100 // 2
+
+
+def test_a_taxon_of_every_unit_spreads_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(CM, "BLOCK_ROWS", 50)
+    x = spark.range(2000).selectExpr("cast(id as string) u", "'common' t", "1.0D v")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        met = CM.pairs_within(CM._block_count(x, ["t"]), ["t"], "u", F.col("__blocks"), ["u", "v"])
+        per_task = [r["count"] for r in met.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(per_task) == 2000 * 1999 // 2
+    assert len(per_task) == 8 and max(per_task) < 2 * sum(per_task) / 8
+
+
+def test_long_permutation_masks_keep_group_sizes(spark):
+    units = spark.createDataFrame([(f"1{g}", f"1u{i}", f"{g}{i}", 1.0) for g, n in (("a", 3), ("b", 5), ("c", 2))
+                                   for i in range(n)], "g string, u string, m string, tot double")
+    sides = CM.permuted_sides(units, 130, 7).collect()
+    size = {"1a": 3, "1b": 5, "1c": 2}
+    for ga, gb in {(r.ga, r.gb) for r in sides}:
+        pool = [r for r in sides if (r.ga, r.gb) == (ga, gb)]
+        assert len(pool) == size[ga] + size[gb]
+        for p in range(130):
+            assert sum(r[f"s{p // 62}"] >> p % 62 & 1 for r in pool) == size[gb]
+
+
 # ---------------------------------------------------------------- scans, time
 
 def test_fill_down_and_running_count_match_pandas(spark):
