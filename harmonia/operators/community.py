@@ -201,8 +201,8 @@ def simper(long: DataFrame, unit: str, group: str, taxa_var: str = "Taxon", valu
 
 def permuted_sides(units: DataFrame, permutations: int, seed: int) -> DataFrame:
     """For every pair of groups and each of their units the sides it takes in
-    the permutations: ``ga, gb, m`` and bit masks ``s0, s1, ...`` of
-    ``MASK_BITS`` permutations each (bit set: on the side of ``gb``).
+    the permutations: ``ga, gb, m`` and ``sides``, bit masks of ``MASK_BITS``
+    permutations each (bit set: on the side of ``gb``).
 
     Permutation ``r`` puts the units whose
     ``md5(seed|r|group_a|group_b|group|unit)`` are the smallest on the side of
@@ -217,46 +217,37 @@ def permuted_sides(units: DataFrame, permutations: int, seed: int) -> DataFrame:
     drawn = members.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
     draw = F.md5(F.concat_ws("|", F.lit(str(seed)), (F.col("r") + 1).cast("string"), *names).cast("binary"))
     rank = F.row_number().over(Window.partitionBy("ga", "gb", "r").orderBy(draw, "m"))
-    drawn = drawn.withColumn("far", rank > F.col("na")).where("far")
-    masks = [F.bit_or(F.when((F.col("r") >= at) & (F.col("r") < at + MASK_BITS),
-                             F.expr(f"shiftleft(1L, r - {at})")).otherwise(F.lit(0).cast("long"))).alias(f"s{i}")
-             for i, at in enumerate(range(0, permutations, MASK_BITS))]
-    found = drawn.groupBy("ga", "gb", "m").agg(*masks)
-    names = [f"s{i}" for i in range(len(masks))]
-    return (members.select("ga", "gb", "g", "u", "m", "tot").join(found, ["ga", "gb", "m"], "left")
-            .fillna(0, subset=names))
+    drawn = drawn.withColumn("far", rank > F.col("na"))
+    words = [F.bit_or(F.when(F.col("far") & (F.floor(F.col("r") / MASK_BITS) == i),
+                             F.expr(f"shiftleft(1L, r % {MASK_BITS})")).otherwise(F.lit(0).cast("long")))
+             for i in range(-(-permutations // MASK_BITS))]
+    return drawn.groupBy("ga", "gb", "m", "tot").agg(F.array(*words).alias("sides"))
 
 
 def _permutation_hits(x: DataFrame, units: DataFrame, observed: DataFrame, permutations: int, seed: int) -> DataFrame:
     """Per pair of groups and taxon the permutations whose average is at least
-    the observed one (``hits``): every permutation is a column of the same
-    sums, which count a pair of units where its two sides differ."""
+    the observed one (``hits``): sums as in ``simper`` over the pairs of units
+    that a permutation puts on different sides, for all permutations at once."""
     sides = permuted_sides(units, permutations, seed).checkpoint()
-    masks = [c for c in sides.columns if c[0] == "s" and c[1:].isdigit()]
-    cols = [f"p{r}" for r in range(permutations)]
-    whole = F.col("l.tot") + F.col("r.tot")
+    pool, whole = ["ga", "gb"], F.col("l.tot") + F.col("r.tot")
     per = F.when(whole != 0, 1 / whole).otherwise(0.0)
+    differ = F.filter(F.sequence(F.lit(0), F.lit(permutations - 1)), lambda p: F.getbit(
+        F.get(F.col("l.sides"), F.floor(p / MASK_BITS).cast("int")).bitwiseXOR(
+            F.get(F.col("r.sides"), F.floor(p / MASK_BITS).cast("int"))), p % MASK_BITS) == 1)
 
-    def apart(r: int) -> Column:
-        s = masks[r // MASK_BITS]
-        return F.getbit(F.col(f"l.{s}").bitwiseXOR(F.col(f"r.{s}")), F.lit(r % MASK_BITS))
-
-    def summed(amount: Column) -> list[Column]:
-        return [F.sum(amount * apart(r)).alias(c) for r, c in enumerate(cols)]
-
-    pool = ["ga", "gb"]
-    met = pairs_within(_block_count(sides, pool), pool, "m", F.col("__blocks"), ["m", "tot", *masks])
-    weights = (met.select(*pool, F.explode(F.array("l.m", "r.m")).alias("m"), "l", "r")
-               .groupBy(*pool, "m").agg(*summed(per)))
+    met = pairs_within(_block_count(sides, pool), pool, "m", F.col("__blocks"), ["m", "tot", "sides"])
+    weights = (met.select(*pool, per.alias("w"), F.array("l.m", "r.m").alias("ends"), F.explode(differ).alias("p"))
+               .select(*pool, "w", "p", F.explode("ends").alias("m")).groupBy(*pool, "m", "p").agg(F.sum("w").alias("w")))
     own = x.select("m", "t", "v")
-    alone = own.join(weights, "m").groupBy(*pool, "t").agg(*[F.sum(F.abs("v") * F.col(c)).alias(c) for c in cols])
+    alone = own.join(weights, "m").select(*pool, "t", "p", (F.abs("v") * F.col("w")).alias("s"))
     placed = sides.join(own, "m")
-    shared = pairs_within(_block_count(placed, [*pool, "t"]), [*pool, "t"], "m", F.col("__blocks"), ["m", "v", "tot", *masks])
-    shared = shared.groupBy(*pool, "t").agg(*summed(-_overlap(F.col("l.v"), F.col("r.v")) * per))
-    sums = alone.unionByName(shared).groupBy(*pool, "t").agg(*[F.sum(c).alias(c) for c in cols])
-    got = observed.select(*pool, "t", "average", "n").join(sums, [*pool, "t"])
-    reached = [F.when(F.col(c) >= (F.col("average") - 1e-12) * F.col("n"), 1).otherwise(0) for c in cols]
-    return got.select(*pool, "t", F.aggregate(F.array(*reached), F.lit(0), lambda s, v: s + v).alias("hits"))
+    shared = pairs_within(_block_count(placed, [*pool, "t"]), [*pool, "t"], "m", F.col("__blocks"), ["m", "v", "tot", "sides"])
+    shared = shared.select(*pool, "t", (-_overlap(F.col("l.v"), F.col("r.v")) * per).alias("s"), F.explode(differ).alias("p"))
+    sums = alone.unionByName(shared.select(*pool, "t", "p", "s")).groupBy(*pool, "t", "p").agg(F.sum("s").alias("s"))
+    reached = F.count(F.when(F.col("s") >= (F.col("average") - 1e-12) * F.col("n"), 1))
+    # a taxon without amounts on either side has no sums: its average is 0 in every permutation
+    return (observed.select(*pool, "t", "average", "n").join(sums, [*pool, "t"], "left").groupBy(*pool, "t")
+            .agg(F.when(F.count("p") == 0, F.lit(permutations)).otherwise(reached).alias("hits")))
 
 
 def top_taxa_summary(df: DataFrame, ranking: DataFrame, taxa_var: str, score: str, x: str, y: str,

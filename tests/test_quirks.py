@@ -293,7 +293,7 @@ def test_long_permutation_masks_keep_group_sizes(spark):
         pool = [r for r in sides if (r.ga, r.gb) == (ga, gb)]
         assert len(pool) == size[ga] + size[gb]
         for p in range(130):
-            assert sum(r[f"s{p // 62}"] >> p % 62 & 1 for r in pool) == size[gb]
+            assert sum(r.sides[p // 62] >> p % 62 & 1 for r in pool) == size[gb]
 
 
 # ---------------------------------------------------------------- scans, time
