@@ -19,6 +19,7 @@ rows.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -145,17 +146,22 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), batch.column(1), batch.column(2)],
                                              names=["x", "lang", "h"])
 
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [b for b in batches if b.num_rows]
+        if not got:
+            return
+        got = pa.Table.from_batches(got).sort_by([("h", "ascending"), ("lang", "ascending")])
+        x = np.empty((got.num_rows, DIMS), np.float32)
+        for i, v in enumerate(got.column("x")):
+            x[i] = np.frombuffer(v.as_buffer(), np.float16)
+        m = train(x, got.column("lang").to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((m.langs, m.code, m.weights, m.bias, m.trust))])], names=["model"])
+
+    # the bounded sample meets in one task, which trains; the driver gets the model alone
     got = (usable.filter(rank <= ids).select(F.col(text).alias("t"), F.col(lang).cast("string").alias("lang"), rank.alias("h"))
-           .mapInArrow(features, "x binary, lang string, h bigint").filter("x is not null").limit(max_train).toArrow())
-    if not got.num_rows:
-        return None
-    got = got.sort_by([("h", "ascending"), ("lang", "ascending")])
-    x = np.empty((got.num_rows, DIMS), np.float32)
-    for i, v in enumerate(got.column("x")):
-        x[i] = np.frombuffer(v.as_buffer(), np.float16)
-    labels = got.column("lang").to_pylist()
-    del got
-    return train(x, labels)
+           .mapInArrow(features, "x binary, lang string, h bigint").filter("x is not null").limit(max_train).coalesce(1)
+           .mapInArrow(learn, "model binary").first())
+    return None if got is None else Model(*pickle.loads(got["model"]))
 
 
 def _predict(model: Model | None, texts: list[str | None], lead: float) -> tuple[list[str], list[float], list[bool]]:
