@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -56,6 +58,18 @@ def sql_type(df: DataFrame, col: str) -> str:
     return df.schema[col].dataType.simpleString()
 
 
+def tidy(work):
+    """``work`` of a task; at its end, memory that is no longer used goes back to
+    the system, as Python workers are kept for later stages."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def keyed_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
     """Split the batches of one partition, sorted by ``keys``, into one table per key.
 

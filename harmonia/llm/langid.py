@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harmonia.llm.common import sql_type
+from harmonia.llm.common import sql_type, tidy
 
 #: Hashed n-gram counts per text.
 DIMS = 4096
@@ -154,13 +154,15 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
         x = np.empty((got.num_rows, DIMS), np.float32)
         for i, v in enumerate(got.column("x")):
             x[i] = np.frombuffer(v.as_buffer(), np.float16)
-        m = train(x, got.column("lang").to_pylist())
+        labels = got.column("lang").to_pylist()
+        del got
+        m = train(x, labels)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((m.langs, m.code, m.weights, m.bias, m.trust))])], names=["model"])
 
     # the bounded sample meets in one task, which trains; the driver gets the model alone
     got = (usable.filter(rank <= ids).select(F.col(text).alias("t"), F.col(lang).cast("string").alias("lang"), rank.alias("h"))
-           .mapInArrow(features, "x binary, lang string, h bigint").filter("x is not null").limit(max_train).coalesce(1)
-           .mapInArrow(learn, "model binary").first())
+           .mapInArrow(tidy(features), "x binary, lang string, h bigint").filter("x is not null").limit(max_train).coalesce(1)
+           .mapInArrow(tidy(learn), "model binary").first())
     return None if got is None else Model(*pickle.loads(got["model"]))
 
 
@@ -193,7 +195,7 @@ def identify(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text:
                 names=["doc_id", "lang_pred", "score", "ambiguous"])
 
     return docs.select(doc_id, text).mapInArrow(
-        run, f"doc_id {sql_type(docs, doc_id)}, lang_pred string, score double, ambiguous boolean")
+        tidy(run), f"doc_id {sql_type(docs, doc_id)}, lang_pred string, score double, ambiguous boolean")
 
 
 def keep_identified(docs: DataFrame, model: Model | None, text: str = "text", min_score: float = 0.3,
@@ -207,4 +209,4 @@ def keep_identified(docs: DataFrame, model: Model | None, text: str = "text", mi
             yield batch.filter(pa.array([a != UNDETERMINED and not (c and b < min_score)
                                          for a, b, c in zip(said, score, vague)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
