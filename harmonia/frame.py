@@ -5,7 +5,8 @@ operator returns ``Result(df, logs)``: ``df`` is the transformed DataFrame
 and ``logs`` maps a log name to a (lazy) DataFrame.  Row order matters to
 several operators ("first match wins", "keep first duplicate"), so a stable
 ``_row_id`` is attached at ingest and carried; it is either a struct of
-caller-given ordering columns (a natural key) or a file-position id.
+caller-given ordering columns (a natural key) or a file-position id that the
+reader attached.  No operator guesses an order.
 """
 
 from __future__ import annotations
@@ -40,19 +41,16 @@ def with_row_id(df: DataFrame, order_cols: list[str] | None = None,
                 name: str = ROW_ID) -> DataFrame:
     """Attach a stable, comparable row identity.
 
-    With ``order_cols`` the id is ``struct(order_cols)``: comparable, computed
-    per row with no global sort (a global ``row_number`` would funnel every
-    row through one task).  Without it, the id is the position in the scan
-    (``monotonically_increasing_id`` is a pure function of partition index
-    and row position, so it is stable across task retries of a file scan).
-    That fallback is only meaningful directly on a scan: attach it before
-    any repartition (``read_table(..., row_id=ROW_ID)`` does).
-    """
+    The id is ``struct(order_cols)``: comparable, computed per row with no
+    global sort (a global ``row_number`` would funnel every row through one
+    task).  A frame that has the id keeps it (``read_table(..., row_id=ROW_ID)``
+    attaches the scan position, before any repartition).  Without either
+    there is no first row to speak of, and this raises."""
     if name in df.columns:
         return df
-    if order_cols:
-        return df.withColumn(name, F.struct(*[F.col(c) for c in order_cols]))
-    return df.withColumn(name, F.monotonically_increasing_id())
+    if not order_cols:
+        raise ValueError(f"give order_cols or a {name} column: which row is the first depends on the order of rows")
+    return df.withColumn(name, F.struct(*[F.col(c) for c in order_cols]))
 
 
 def require_columns(df: DataFrame, cols, what: str = "column") -> None:

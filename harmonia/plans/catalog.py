@@ -43,4 +43,4 @@ def load_all() -> dict[str, tuple[QueryFn, str | None]]:
     return QUERIES
 
 
-MODULES = ["q_combine", "q_project", "q_checks", "q_joins", "q_taxa", "q_community", "q_programs", "q_extra"]
+MODULES = ["q_combine", "q_project", "q_checks", "q_joins", "q_taxa", "q_community", "q_programs", "q_extra", "q_sources", "q_pipelines"]

@@ -7,7 +7,7 @@ the few scalars some operators need (medians, date span).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from harmonia.frame import ROW_ID, Result, with_row_id
@@ -46,13 +46,6 @@ def _merge(res: Result, out) -> Result:
     return Result(out.df, logs)
 
 
-def _ordered(df: DataFrame, order_cols: list[str] | None) -> DataFrame:
-    """``df`` with a row identity from the caller's order; there is no other order to fall back on."""
-    if ROW_ID not in df.columns and not order_cols:
-        raise ValueError(f"give order_cols or a {ROW_ID} column: first rows of a group depend on the order of rows")
-    return with_row_id(df, order_cols)
-
-
 def taxon_chain(df: DataFrame, typos: DataFrame | None, taxa: DataFrame | None, std_type: str = "program",
                 std_sp: bool = True, std_suffix: bool = True, *, typo_order: str | list[str] | None = None,
                 taxa_order: str | list[str] | None = None) -> Result:
@@ -79,7 +72,7 @@ def format_program(df: DataFrame, cfg: dict, typos: DataFrame | None = None, tax
     -> outliers.  ``cfg`` keys: renames, density ({unit, cell}), comment_col,
     meta_cols, match_cols, key_cols, subset, outlier_cutoff, order_cols (unless
     ``df`` has a row id)."""
-    res = Result(R.distinct_rows_keep_id(_ordered(df, cfg.get("order_cols"))))
+    res = Result(R.distinct_rows_keep_id(with_row_id(df, cfg.get("order_cols"))))
     if cfg.get("renames"):
         res = _merge(res, P.rename_cols(res.df, cfg["renames"]))
     res = _merge(res, P.remove_taxa_info(res.df))
@@ -127,7 +120,7 @@ def prep_for_synthesis(df: DataFrame, cfg: dict, meta: DataFrame | None = None,
     ``cfg``: from_zone, meta_cols, match_cols, constants, loc_col, subset,
     key_cols, order_cols (unless ``df`` has a row id) and outlier_cutoffs
     (densities to flag and their cutoffs; 3 for each that is present)."""
-    res = Result(_ordered(df, cfg.get("order_cols")))
+    res = Result(with_row_id(df, cfg.get("order_cols")))
     if "Time" in df.columns and cfg.get("from_zone"):
         nd, nt = T.local_to_fixed_offset("Date", "Time", cfg["from_zone"])
         res = Result(res.df.withColumns({"Date": nd, "Time": nt}), res.logs)
@@ -185,6 +178,40 @@ def synthesize(programs: list[DataFrame], recodes: dict[str, dict] | None = None
     return res
 
 
+def write_synthesis(programs: list[DataFrame], path: str, recodes: dict[str, dict] | None = None,
+                    drop: list[str] | None = None) -> dict[str, int]:
+    """L3's table written to ``path`` (Parquet), with the counts that C29, F1 and F3
+    report taken in the pass that writes: ``n_parts``, ``n_union``,
+    ``n_recoded`` (values changed) and ``n_removed`` (rows without data)."""
+    n, seen = F.count(F.lit(1)).alias("n"), []
+
+    def observed(df: DataFrame, *metrics) -> DataFrame:
+        seen.append(Observation())
+        return df.observe(seen[-1], *metrics)
+
+    union = R.union_by_name([observed(P.cast_all_but(p, ("Date",)), n) for p in programs])
+    parts, changes = list(seen), []
+    for col, mapping in (recodes or {}).items():
+        if col in union.columns:
+            # new name: old value; a value that keeps its name does not count
+            olds = [(new, o) for new, old in mapping.items() for o in ([old] if isinstance(old, str) else old)]
+            changes += [F.count(F.when(F.col(col) == old, 1)) for new, old in olds if new != old]
+    changed = sum(changes, F.lit(0)) if changes else F.sum(F.lit(0))
+    union = observed(union, n, changed.alias("changed"))
+    whole = seen[-1]
+    for col, mapping in (recodes or {}).items():
+        if col in union.columns:
+            union = FL.rename_values(union, col, mapping).df
+    union = union.drop(*(drop or []))
+    dens = [c for c in DENSITIES if c in union.columns]
+    union = union.withColumns({c: F.col(c).try_cast("double") for c in dens})
+    kept = observed(FL.remove_nodata(union, dens).df, n)
+    last = seen[-1]
+    kept.write.mode("overwrite").parquet(path)
+    return {"n_parts": sum(o.get["n"] for o in parts), "n_union": whole.get["n"], "n_recoded": whole.get["changed"],
+            "n_removed": whole.get["n"] - last.get["n"]}
+
+
 def metadata_report(df: DataFrame, surveys: list[str] | None = None) -> dict[str, DataFrame]:
     """L4: the metadata QA tables over the synthesized data."""
     rep = {
@@ -320,7 +347,7 @@ def formatter_batch(frames: list[DataFrame], schema: dict, preset: str, meta: Da
     df = P.dispatch(R.union_by_name(std), schema.get("format", ""), FORMATTERS)
     plan = compile_preset(schema, preset, df.columns, {"meta": meta, "typos": typos, "taxa": taxa})
     run = {name for name, what in plan if what == "run"}
-    res = Result(_ordered(df, order_cols))
+    res = Result(with_row_id(df, order_cols))
     res.logs["steps"] = df.sparkSession.createDataFrame(plan, "step string, status string")
     keys = schema.get("combine_key_cols", ["Date", "Station"])
     if "duplicate_checks" in run:

@@ -77,14 +77,17 @@ def read_all_text(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def read_csv_typed_by_name(spark: SparkSession, path: str, date_pattern: str = r"Date|Time",
                            date_format: str = "M/d/yyyy") -> DataFrame:
-    """S3: read as text, then parse the columns whose name matches the
-    pattern as dates and try numbers elsewhere."""
+    """S3: read as text; columns whose name matches the pattern become dates,
+    others numbers where every value they have is one (one aggregate tells)."""
     df = spark.read.option("header", True).option("inferSchema", False).csv(path)
     rx = re.compile(date_pattern)
-    out = {}
-    for c in df.columns:
-        if rx.search(c):
-            out[c] = F.try_to_date(F.col(c), date_format)
+    out = {c: F.try_to_date(F.col(c), date_format) for c in df.columns if rx.search(c)}
+    others = [c for c in df.columns if c not in out]
+    if others:
+        number = [F.col(c).try_cast("double") for c in others]
+        seen = df.agg(*[((F.count(F.col(c)) > 0) & (F.count(F.col(c)) == F.count(n))).alias(f"c{i}")
+                        for i, (c, n) in enumerate(zip(others, number))]).first()
+        out.update({c: n for i, (c, n) in enumerate(zip(others, number)) if seen[f"c{i}"]})
     return df.withColumns(out) if out else df
 
 
@@ -239,6 +242,17 @@ def ingest_manifest(spark: SparkSession, files: list[str], schema: dict, seen: l
                                   *[_named(n).try_cast(k).alias(n) for n, k in kinds.items()], other.alias("_other"))
 
 
+def list_files(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[str]:
+    """The files below a folder, on whatever file system it is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found, out = p.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(p, True), []
+    while found.hasNext():
+        path = found.next().getPath().toString()
+        if path.endswith(suffix):
+            out.append(path)
+    return sorted(out)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

@@ -10,6 +10,7 @@ group-level steps (combine, outliers, synonyms) run in batch on the sink.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,7 +52,9 @@ def ingest_new_files(spark: SparkSession, src_dir: str, schema: T.StructType, ou
     ``spark.checkpoint.dir``."""
     from harmonia.session import checkpoint_dir
     if checkpoint is None:
-        checkpoint = os.path.join(checkpoint_dir(spark), "ingest", os.path.basename(os.path.normpath(out_dir)))
+        place = os.path.normpath(out_dir)  # the whole path: outputs of one name are different outputs
+        checkpoint = os.path.join(checkpoint_dir(spark), "ingest",
+                                  f"{os.path.basename(place)}-{hashlib.sha256(place.encode()).hexdigest()[:16]}")
     reader = spark.readStream.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True)
