@@ -119,7 +119,8 @@ def prep_for_synthesis(df: DataFrame, cfg: dict, meta: DataFrame | None = None,
 
     ``cfg``: from_zone, meta_cols, match_cols, constants, loc_col, subset,
     key_cols, order_cols (unless ``df`` has a row id) and outlier_cutoffs
-    (densities to flag and their cutoffs; 3 for each that is present)."""
+    (densities to flag and their cutoffs; 3 for each that is present).  Codes
+    go to QualityCheck; a program without it gets ``outlier_stats`` only."""
     res = Result(with_row_id(df, cfg.get("order_cols")))
     if "Time" in df.columns and cfg.get("from_zone"):
         nd, nt = T.local_to_fixed_offset("Date", "Time", cfg["from_zone"])
@@ -147,8 +148,8 @@ def prep_for_synthesis(df: DataFrame, cfg: dict, meta: DataFrame | None = None,
     if not cutoffs:
         return res
     res = Result(stage(res.df), res.logs)
-    if "QualityCheck" not in res.df.columns:
-        res = Result(res.df.withColumn("QualityCheck", F.lit("NoCode")), res.logs)
+    if "QualityCheck" not in res.df.columns:  # no column for the codes: the statistics alone
+        return Result(res.df, {**res.logs, "outlier_stats": M.outlier_stats(res.df, cutoffs)})
     return _merge(res, M.flag_all_outliers(res.df, cutoffs))
 
 

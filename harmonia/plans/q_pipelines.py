@@ -94,7 +94,7 @@ SELECT g.Event_ID, g.ev_id, g.Survey, g.Station, g.Date, g.Time, g.SampleDepth,
 FROM g LEFT JOIN {_REF} ON ref.name = g.Taxon
 """, "ev_varied"))
 def l2_prep_varied(spark, sf):
-    ev = fixture(spark, sf, "ev_varied").withColumn("OrigTaxon", F.lit(None).cast("string"))
+    ev = fixture(spark, sf, "ev_varied").withColumns({"OrigTaxon": F.lit(None).cast("string"), "QualityCheck": F.lit("NoCode")})
     typos, taxa = _tables(spark, sf)
     cfg = {"from_zone": "America/Los_Angeles", "loc_col": "Station", "meta_cols": ["Lab"], "order_cols": ["ev_id"],
            "outlier_cutoffs": {"Cells_per_mL": 1.2, "Units_per_mL": 1.2}}
@@ -213,7 +213,7 @@ def l3_written_counts(spark, sf):
 
 
 def _report(spark, sf):
-    df = fixture(spark, sf, "ev_survey").withColumns({
+    df = fixture(spark, sf, "ev_survey").withColumnRenamed("event_id", "row_no").withColumns({
         "Survey": F.col("Taxon"), "Location": F.substring("Time", 1, 2), "Event_ID": F.concat_ws("|", "Station", "Date"),
         "Phylum": F.col("Taxon"), "Class": F.substring("Station", 1, 2), "AlgalGroup": F.lit(None).cast("string")})
     return PG.metadata_report(df)
@@ -225,9 +225,9 @@ _L4 = {
                    "bool_and(Latitude BETWEEN 37.0 AND 39.0 AND Longitude BETWEEN -123.0 AND -121.0) AS in_box FROM ev_survey",
     "multi_location_stations": "SELECT Station, count(*) AS n, string_agg(l, ', ' ORDER BY l) AS locations FROM "
                                "(SELECT DISTINCT Station, substr(Time, 1, 2) AS l FROM ev_survey) GROUP BY Station HAVING count(*) > 1",
-    "units_exceed_cells": "SELECT event_id, Cells_per_mL, Units_per_mL FROM ev_survey WHERE Cells_per_mL < Units_per_mL",
+    "units_exceed_cells": "SELECT event_id AS row_no, Cells_per_mL, Units_per_mL FROM ev_survey WHERE Cells_per_mL < Units_per_mL",
     "taxonomy": "SELECT DISTINCT Taxon AS Phylum, substr(Station, 1, 2) AS Class, NULL::VARCHAR AS AlgalGroup FROM ev_survey",
-    "event_taxon_duplicates": "SELECT event_id, Station, Date, Taxon FROM ev_survey WHERE (Station, Date, Taxon) IN "
+    "event_taxon_duplicates": "SELECT event_id AS row_no, Station, Date, Taxon FROM ev_survey WHERE (Station, Date, Taxon) IN "
                               "(SELECT (Station, Date, Taxon) FROM ev_survey GROUP BY Station, Date, Taxon HAVING count(*) > 1)",
 }
 
@@ -235,8 +235,8 @@ _L4 = {
 def _report_query(name: str, sql: str) -> None:
     @query(f"l4_{name}", with_fixtures(sql, "ev_survey"))
     def report(spark, sf):
-        keep = {"units_exceed_cells": ["event_id", "Cells_per_mL", "Units_per_mL"],
-                "event_taxon_duplicates": ["event_id", "Station", "Date", "Taxon"]}
+        keep = {"units_exceed_cells": ["row_no", "Cells_per_mL", "Units_per_mL"],
+                "event_taxon_duplicates": ["row_no", "Station", "Date", "Taxon"]}
         got = _report(spark, sf)[name]
         return got.select(*keep.get(name, got.columns))
 

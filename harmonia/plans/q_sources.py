@@ -101,7 +101,7 @@ def _uploads(spark, sf, path):
     second = e.where("event_type = 'purchase'").select("amount", "value", "event_type", "event_id")  # no user_id
     for i, part in enumerate((first, second)):
         SK.write_by_key(part, f"{path}/{i}", "event_type")
-    return RD.ingest_manifest(spark, RD.list_files(spark, path), UPLOAD_SCHEMA)
+    return RD.ingest_manifest(spark, RD.list_files(spark, path), UPLOAD_SCHEMA, root=path)
 
 
 @query("s8_ingest_manifest", f"""

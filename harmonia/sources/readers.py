@@ -142,12 +142,15 @@ def _csv_cells(line: Column) -> Column:
     return F.transform(raw, cell)
 
 
-def read_uploads(spark: SparkSession, files: list[str] | str) -> DataFrame:
+def read_uploads(spark: SparkSession, files: list[str] | str, root: str | None = None) -> DataFrame:
     """Every line of the uploaded CSV files in one scan, with the file it is from
-    (``name``), its cells and the file's ``header`` cells.  Files may have
-    different columns in any order; a cell cannot hold a line break."""
+    (``name``: the file name, or the path below folder ``root``), its cells and
+    the file's ``header`` cells.  Files may have different columns in any
+    order; a cell cannot hold a line break."""
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    below = "[^/]*$" if root is None else f"(?<=/{re.escape(os.path.basename(os.path.normpath(root)))}/).*$"
     lines = spark.read.text(files).select(
-        F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("name"),
+        F.regexp_extract(path, below, 0).alias("name"),
         F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id")).alias("at"),
         F.regexp_replace("value", "^\ufeff|\r$", "").alias("line"))
     lines = lines.where(F.trim("line") != "")
@@ -190,21 +193,23 @@ def _upload_findings(columns: dict) -> list[Column]:
 
 
 def ingest_manifest(spark: SparkSession, files: list[str], schema: dict, seen: list[str] | DataFrame | None = None,
-                    manifest_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+                    manifest_path: str | None = None, root: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The new files read in one scan and validated in one grouped
     aggregate.  Returns (manifest: name, status, errors, n_rows; rows of the
     valid files, ``_source_file`` and the declared columns, numbers as
     doubles, other columns as a map ``_other``).
 
-    Names seen before (a list, or a manifest's ``name`` column) are skipped, as
-    are repeated names.  A file without a header line, or that cannot be
+    Names (of the files, or their paths below ``root``) seen before (a list, or a
+    manifest's ``name`` column) are skipped, as are repeated names.  A file without a header line, or that cannot be
     found, is a manifest entry and no crash.  With ``manifest_path`` the
     manifest is appended there in one atomic Parquet commit, from which
     ``seen`` is read as well.
     """
     from harmonia.session import checkpoint_dir
     checkpoint_dir(spark)
-    listed = spark.createDataFrame([(os.path.basename(p), p) for p in files], "name string, path string")
+    under = f"/{os.path.basename(os.path.normpath(root))}/" if root else "/"
+    names = [(p.split(under, 1)[1] if root else p.rsplit("/", 1)[-1], p) for p in files]
+    listed = spark.createDataFrame(names, "name string, path string")
     listed = listed.groupBy("name").agg(F.min("path").alias("path"))
     known = [seen] if isinstance(seen, DataFrame) else [spark.createDataFrame([(s,) for s in seen], "name string")] if seen else []
     if manifest_path and _exists(spark, manifest_path):
@@ -216,7 +221,7 @@ def ingest_manifest(spark: SparkSession, files: list[str], schema: dict, seen: l
     there = [p for p in new if _exists(spark, p)]
     columns = schema.get("columns", {})
     if there:
-        rows = read_uploads(spark, there).withColumn("is_head", F.col("at") == F.col("head_at"))
+        rows = read_uploads(spark, there, root).withColumn("is_head", F.col("at") == F.col("head_at"))
         rules = _upload_findings(columns)
         checked = rows.groupBy("name").agg(
             F.array_compact(F.array(*rules)).alias("errors"), F.count(F.when(~F.col("is_head"), 1)).alias("n_rows"))
