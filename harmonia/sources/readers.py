@@ -146,7 +146,11 @@ def read_uploads(spark: SparkSession, files: list[str] | str, root: str | None =
     """Every line of the uploaded CSV files in one scan, with the file it is from
     (``name``: the file name, or the path below folder ``root``), its cells and
     the file's ``header`` cells.  Files may have different columns in any
-    order; a cell cannot hold a line break."""
+    order; a cell cannot hold a line break.
+
+    The first line of every block of a file is found by counting alone (no
+    sort of lines, no text in the aggregate); one line a file is then read as
+    its header."""
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     below = "[^/]*$" if root is None else f"(?<=/{re.escape(os.path.basename(os.path.normpath(root)))}/).*$"
     lines = spark.read.text(files).select(
@@ -154,9 +158,15 @@ def read_uploads(spark: SparkSession, files: list[str] | str, root: str | None =
         F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id")).alias("at"),
         F.regexp_replace("value", "^\ufeff|\r$", "").alias("line"))
     lines = lines.where(F.trim("line") != "")
-    heads = lines.groupBy("name").agg(F.min("at").alias("head_at"), F.min_by("line", "at").alias("head"))
-    heads = heads.select("name", "head_at", _csv_cells(F.col("head")).alias("header"))
-    return lines.withColumn("cells", _csv_cells(F.col("line"))).join(heads, "name")
+    firsts = lines.groupBy("name", F.col("at.block").alias("block")).agg(F.min("at.id").alias("id"))
+    firsts = firsts.groupBy("name").agg(F.min(F.struct("block", "id")).alias("head_at"))
+    heads = (lines.select(F.col("name").alias("__name"), "at", "line")
+             .join(F.broadcast(firsts), (F.col("__name") == F.col("name")) & (F.col("at.id") == F.col("head_at.id"))
+                   & (F.col("at.block") == F.col("head_at.block")))
+             .select("name", "head_at", _csv_cells(F.col("line")).alias("header")))
+    # one row a file, as many as the caller listed: sent to the lines, which would
+    # otherwise all be sorted by file, a whole file in one task
+    return lines.withColumn("cells", _csv_cells(F.col("line"))).join(F.broadcast(heads), "name")
 
 
 def _named(name: str) -> Column:
@@ -164,12 +174,13 @@ def _named(name: str) -> Column:
     return F.get("cells", F.array_position("header", name).cast("int") - 1)
 
 
-def _upload_findings(columns: dict) -> list[Column]:
-    """Per declared column and rule: the error text where the lines of a file break it, else NULL."""
+def _upload_findings(columns: dict) -> list[tuple[str, Column]]:
+    """Per declared column and rule: the error text and whether the lines of a file break the
+    rule.  Flags only are aggregated: Spark hashes those, where texts would make it sort every line."""
     data, out = ~F.col("is_head"), []
 
     def found(name: str, hit: Column, text: str) -> None:
-        out.append(F.max(F.when(hit, F.lit(f"{name}: {text}"))))
+        out.append((f"{name}: {text}", F.coalesce(F.max(F.when(hit, F.lit(1))), F.lit(0)) == 1))
 
     for name, spec in columns.items():
         v, num = _named(name), _named(name).try_cast("double")
@@ -181,7 +192,7 @@ def _upload_findings(columns: dict) -> list[Column]:
             plain = num.isNotNull() | F.lower(v).isin("true", "false") | F.try_to_date(v, "yyyy-MM-dd").isNotNull()
             some = F.max(F.when(data & v.isNotNull(), plain.cast("int")))
             every = F.min(F.when(data & v.isNotNull(), plain.cast("int")))
-            out.append(F.when((some == 1) & (every == 1), F.lit(f"{name}: not character")))
+            out.append((f"{name}: not character", F.coalesce((some == 1) & (every == 1), F.lit(False))))
         if "min" in spec:
             found(name, data & (num < spec["min"]), "below min")
         if "max" in spec:
@@ -223,8 +234,9 @@ def ingest_manifest(spark: SparkSession, files: list[str], schema: dict, seen: l
     if there:
         rows = read_uploads(spark, there, root).withColumn("is_head", F.col("at") == F.col("head_at"))
         rules = _upload_findings(columns)
+        found = F.array(*[F.when(broken, F.lit(text)) for text, broken in rules])
         checked = rows.groupBy("name").agg(
-            F.array_compact(F.array(*rules)).alias("errors"), F.count(F.when(~F.col("is_head"), 1)).alias("n_rows"))
+            F.array_compact(found).alias("errors"), F.count(F.when(~F.col("is_head"), 1)).alias("n_rows"))
     else:
         rows = None
         checked = spark.createDataFrame([], "name string, errors array<string>, n_rows long")
@@ -239,7 +251,7 @@ def ingest_manifest(spark: SparkSession, files: list[str], schema: dict, seen: l
     if rows is None:
         return manifest, spark.createDataFrame([], ", ".join(
             ["_source_file string", *[f"`{n}` {k}" for n, k in kinds.items()], "_other map<string,string>"]))
-    valid = rows.where(~F.col("is_head")).join(manifest.where("status = 'valid'").select("name"), "name", "left_semi")
+    valid = rows.where(~F.col("is_head")).join(F.broadcast(manifest.where("status = 'valid'").select("name")), "name", "left_semi")
     pairs = F.arrays_zip(F.col("header").alias("k"), F.col("cells").alias("v"))
     other = F.map_from_entries(F.filter(pairs, lambda x, i: (F.array_position("header", x["k"]) == i + 1)
                                         & ~x["k"].isin(*kinds, "")))
