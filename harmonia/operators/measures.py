@@ -79,12 +79,11 @@ def exact_medians(long: DataFrame, measure: str, col: str) -> dict:
     measure and value range, and one sum per range says which range holds the
     middle ranks; running counts inside those ranges give the values.  Only
     one count per range and measure and two values per measure reach the driver."""
-    from harmonia.session import checkpoint_dir
-    checkpoint_dir(long.sparkSession)
+    from harmonia.session import stage
     x = F.col(col).cast("double")
-    counts = (long.where(x.isNotNull() & ~F.isnan(x)).groupBy(F.col(measure).alias("m"), x.alias("x"))
-              .agg(F.count(F.lit(1)).alias("n"))
-              .repartitionByRange("m", "x").withColumn("range", F.spark_partition_id()).checkpoint())
+    counts = stage(long.where(x.isNotNull() & ~F.isnan(x)).groupBy(F.col(measure).alias("m"), x.alias("x"))
+                   .agg(F.count(F.lit(1)).alias("n"))
+                   .repartitionByRange("m", "x").withColumn("range", F.spark_partition_id()))
     sizes = counts.groupBy("m", "range").agg(F.sum("n").alias("n")).orderBy("m", "range").collect()
     targets = []  # (measure, range, rank within the range)
     for m in dict.fromkeys(r["m"] for r in sizes):
@@ -117,11 +116,10 @@ def _log_value(c: str) -> Column:
 def robust_scales(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:
     """Median and scaled MAD of log10 of the positive values of each column, for
     all columns in the same passes; columns without positive values are absent."""
-    from harmonia.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
+    from harmonia.session import stage
     pairs = F.array(*[F.struct(F.lit(c).alias("m"), _log_value(c).alias("x")) for c in cols])
     # the passes below iterate on the driver: run the upstream plan once
-    vals = df.select(F.explode(pairs).alias("p")).select("p.m", "p.x").where(F.col("x").isNotNull()).checkpoint()
+    vals = stage(df.select(F.explode(pairs).alias("p")).select("p.m", "p.x").where(F.col("x").isNotNull()))
     medians = exact_medians(vals, "m", "x")
     if not medians:
         return {}

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from harmonia.frame import ROW_ID, Result, with_row_id
+from harmonia.frame import ROW_ID, Result, null_safe_join, with_row_id
 from harmonia.functions import timefn as T
 from harmonia.operators import checks as CK
 from harmonia.operators import combine as CB
@@ -22,6 +22,7 @@ from harmonia.operators import project as P
 from harmonia.operators import reshape as R
 from harmonia.operators import taxonomy as X
 from harmonia.operators.grids import add_event_id, sampling_freq_grid, station_count_grid
+from harmonia.session import stage
 from harmonia.sources.config import applies, step
 from harmonia.sources.readers import ingest_manifest
 
@@ -30,14 +31,6 @@ DENSITIES = ["Cells_per_mL", "Units_per_mL", "Biovolume_per_mL"]
 SYNTH_CUTOFFS = {"Cells_per_mL": 3.0, "Units_per_mL": 3.0, "Biovolume_per_mL": 3.5}
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Materialise a pipeline stage in the shared checkpoint folder so later
-    steps that need driver-side scalars do not re-run the whole chain."""
-    from harmonia.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def _merge(res: Result, out) -> Result:
     if isinstance(out, DataFrame):
         return Result(out, res.logs)
@@ -46,19 +39,49 @@ def _merge(res: Result, out) -> Result:
     return Result(out.df, logs)
 
 
+def on_names(df: DataFrame, steps: dict, taxa: DataFrame | None = None) -> Result:
+    """Run taxon steps (name -> operator) over the distinct names of ``df`` and join what they give.
+
+    A step depends on the name alone (and on the old name where none is about to
+    be looked up), so its rules run once a name, and the data meets the names
+    in one join, whatever the number of steps: a broadcast where Spark sees
+    that the names are few, else one that it can split at a frequent name."""
+    if not steps:
+        return Result(df)
+    keys, cols = ["Taxon"], list(df.columns)
+    if "update_synonyms" in steps:
+        cols = [c for c in cols if c != "OrigTaxon"]
+        cols.insert(cols.index("Taxon"), "OrigTaxon")
+    elif "higher_lvl_taxa" in steps and "OrigTaxon" in cols:
+        keys.append("OrigTaxon")
+    if "higher_lvl_taxa" in steps:
+        ref_cols = [c for c in taxa.columns if c != "Taxon"]
+        cols = cols if "OrigTaxon" in cols else [*cols, "OrigTaxon"]
+        cols = [c for c in cols if c not in ref_cols] + [c for c in ref_cols if c != "CurrentTaxon"]
+    names = stage(df.select(*keys).distinct())
+    res = Result(names.withColumns({f"__was_{k}": F.col(k) for k in keys}))
+    for operator in steps.values():
+        res = _merge(res, operator(res.df))
+    got = stage(res.df)
+    new = [c for c in got.columns if not c.startswith("__was_")]
+    got = got.select(*[F.col(f"__was_{k}").alias(k) for k in keys], *[F.col(c).alias(f"__new_{c}") for c in new])
+    out = null_safe_join(df, got, keys, "left")
+    return Result(out.select(*[F.col(f"__new_{c}").alias(c) if c in new else F.col(c) for c in cols]), res.logs)
+
+
 def taxon_chain(df: DataFrame, typos: DataFrame | None, taxa: DataFrame | None, std_type: str = "program",
                 std_sp: bool = True, std_suffix: bool = True, *, typo_order: str | list[str] | None = None,
                 taxa_order: str | list[str] | None = None) -> Result:
     """X5 -> X4 -> X6 -> X7: typos, unknowns, synonyms, higher taxonomy.  A
     table that is given needs the column(s) that order its rows."""
-    res = Result(df)
+    steps = {}
     if typos is not None:
-        res = _merge(res, X.correct_taxon_typos(res.df, typos, order=typo_order))
-    res = _merge(res, X.clean_unknowns(res.df, std_sp, std_suffix))
+        steps["correct_taxon_typos"] = lambda d: X.correct_taxon_typos(d, typos, order=typo_order)
+    steps["clean_unknowns"] = lambda d: X.clean_unknowns(d, std_sp, std_suffix)
     if taxa is not None:
-        res = _merge(res, X.update_synonyms(res.df, taxa, order=taxa_order))
-        res = _merge(res, X.higher_lvl_taxa(res.df, taxa, std_type))
-    return res
+        steps["update_synonyms"] = lambda d: X.update_synonyms(d, taxa, order=taxa_order)
+        steps["higher_lvl_taxa"] = lambda d: X.higher_lvl_taxa(d, taxa, std_type)
+    return on_names(df, steps, taxa)
 
 
 def format_program(df: DataFrame, cfg: dict, typos: DataFrame | None = None, taxa: DataFrame | None = None,
@@ -72,7 +95,11 @@ def format_program(df: DataFrame, cfg: dict, typos: DataFrame | None = None, tax
     -> outliers.  ``cfg`` keys: renames, density ({unit, cell}), comment_col,
     meta_cols, match_cols, key_cols, subset, outlier_cutoff, order_cols (unless
     ``df`` has a row id)."""
-    res = Result(R.distinct_rows_keep_id(with_row_id(df, cfg.get("order_cols"))))
+    if ROW_ID in df.columns:
+        rows = R.distinct_rows_keep_id(df)
+    else:  # the id is made of columns, so equal rows have the same
+        rows = with_row_id(df.distinct(), cfg.get("order_cols"))
+    res = Result(stage(rows))  # the distinct rows are read more than once below
     if cfg.get("renames"):
         res = _merge(res, P.rename_cols(res.df, cfg["renames"]))
     res = _merge(res, P.remove_taxa_info(res.df))
@@ -98,7 +125,6 @@ def format_program(df: DataFrame, cfg: dict, typos: DataFrame | None = None, tax
     res = _merge(res, X.add_notes_col(res.df, comment))
     res = _merge(res, taxon_chain(res.df, typos, taxa, cfg.get("std_type", "program"),
                                   typo_order=typo_order, taxa_order=taxa_order))
-    res = Result(stage(res.df), res.logs)
     keys = cfg.get("key_cols", ["Date", "Station"])
     res.logs["nondistinct_keyrows"] = CK.check_distinct(res.df, "key_cols", key_cols=keys)
     if cfg.get("subset"):
@@ -106,6 +132,7 @@ def format_program(df: DataFrame, cfg: dict, typos: DataFrame | None = None, tax
     res = _merge(res, CB.combine_taxa(res.df, keys, [c for c in DENSITIES if c in res.df.columns]))
     res = _merge(res, FL.remove_nodata(res.df, [c for c in DENSITIES if c in res.df.columns]))
     if cfg.get("outlier_cutoff") and "Cells_per_mL" in res.df.columns:
+        res = Result(stage(res.df), res.logs)
         res = _merge(res, M.flag_outliers(res.df, "Cells_per_mL", cutoff=cfg["outlier_cutoff"]))
     return res
 
@@ -124,7 +151,8 @@ def prep_for_synthesis(df: DataFrame, cfg: dict, meta: DataFrame | None = None,
     res = Result(with_row_id(df, cfg.get("order_cols")))
     if "Time" in df.columns and cfg.get("from_zone"):
         nd, nt = T.local_to_fixed_offset("Date", "Time", cfg["from_zone"])
-        res = Result(res.df.withColumns({"Date": nd, "Time": nt}), res.logs)
+        # the clock is converted once, not in every pass over dates and names below
+        res = Result(stage(res.df.withColumns({"Date": nd, "Time": nt})), res.logs)
     if meta is not None:
         for c in cfg.get("meta_cols", []):
             res = _merge(res, J.add_meta_col(res.df, meta, c, cfg.get("match_cols"),
@@ -353,7 +381,7 @@ def formatter_batch(frames: list[DataFrame], schema: dict, preset: str, meta: Da
     keys = schema.get("combine_key_cols", ["Date", "Station"])
     if "duplicate_checks" in run:
         res.logs["duplicate_rows"] = CK.duplicate_rows(res.df.drop(ROW_ID))
-        res = Result(R.distinct_rows_keep_id(res.df), res.logs)
+        res = Result(stage(R.distinct_rows_keep_id(res.df)), res.logs)
         if set(keys) | {"Taxon"} <= set(df.columns):
             res.logs["duplicate_keys"] = CK.duplicate_rows(res.df.drop(ROW_ID), [*keys, "Taxon"])
     if "missing_datetime_checks" in run:
@@ -383,16 +411,15 @@ def formatter_batch(frames: list[DataFrame], schema: dict, preset: str, meta: Da
         res = _merge(res, X.add_qc_col(res.df, cc))
         res = _merge(res, X.add_debris_col(res.df, cc))
         res = _merge(res, X.add_notes_col(res.df, cc))
-    if "correct_taxon_typos" in run:
-        res = _merge(res, X.correct_taxon_typos(res.df, typos, order=typo_order))
-    if "standardize_unknowns" in run:
-        o = step(schema, "standardize_unknowns", preset)
-        res = _merge(res, X.clean_unknowns(res.df, o.get("std_sp", True), o.get("std_suffix", True)))
-    if "update_synonyms" in run:
-        res = _merge(res, X.update_synonyms(res.df, taxa, order=taxa_order))
-    if "higher_lvl_taxa" in run:
-        mode = step(schema, "higher_lvl_taxa", preset).get("std_type", "program")
-        res = _merge(res, X.higher_lvl_taxa(res.df, taxa, "unified" if mode != "program" else "program"))
+    o = step(schema, "standardize_unknowns", preset)
+    mode = step(schema, "higher_lvl_taxa", preset).get("std_type", "program")
+    steps = {
+        "correct_taxon_typos": lambda d: X.correct_taxon_typos(d, typos, order=typo_order),
+        "standardize_unknowns": lambda d: X.clean_unknowns(d, o.get("std_sp", True), o.get("std_suffix", True)),
+        "update_synonyms": lambda d: X.update_synonyms(d, taxa, order=taxa_order),
+        "higher_lvl_taxa": lambda d: X.higher_lvl_taxa(d, taxa, "unified" if mode != "program" else "program"),
+    }
+    res = _merge(res, on_names(res.df, {k: f for k, f in steps.items() if k in run}, taxa))
     measures = [c for c in schema.get("combine_measurement_cols", DENSITIES) if c in res.df.columns]
     if set(keys) | {"Taxon"} <= set(res.df.columns):
         # C7-C9 over what is about to be combined

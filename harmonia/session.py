@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -62,3 +63,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
+
+    Written as Parquet: a checkpoint keeps rows uncompressed and whole, Parquet
+    takes a fraction of that, is read by column, and its size tells Spark
+    whether a lookup is small enough to broadcast.  What Parquet cannot hold
+    (columns without a type, repeated names) is checkpointed."""
+    root = checkpoint_dir(df.sparkSession)
+    names = [c.lower() for c in df.columns]
+    if not names or len(set(names)) < len(names) or '"void"' in df.schema.json():
+        return df.checkpoint()
+    path = f"{root}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
