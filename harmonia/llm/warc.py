@@ -13,7 +13,8 @@ member alone.
 
 Archives are bounded (``ARCHIVE_BYTES``, ``ARCHIVE_RECORDS``): a long stream
 goes on in a further one, so that an archive is a fair piece of work for a
-reader.  Between members stands an empty gzip member (``REST``), as Spark's
+reader.  Short streams that one task reads share archives: files and folders
+grow with the bytes, not with the number of streams.  Between members stands an empty gzip member (``REST``), as Spark's
 writer needs a separator; gzip readers pass over it.  Files are written and
 read by Spark alone, in its commit protocol and on any file system; lost
 tasks are run again, and their archives come out the same byte for byte.
@@ -177,15 +178,19 @@ def _digest(named: dict[str, str]) -> str | None:
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces of streams in file order to members of archives, with their index fields."""
+    """Pieces of streams in file order to members of archives, with their index fields.
+
+    Archives bear the name of the task's first file.
+    """
     schema = pa.schema([*_INDEX, ("member", pa.binary())])
     out: list[tuple] = []
     size, state = 0, {}
 
     def begin(file: str) -> None:
-        name = re.sub(r"[^A-Za-z0-9_-]", "-", file.rpartition("/")[2].split(".")[0])
-        state.update(file=file, stream=RecordStream(), part=0, seq=0, offset=0,
-                     name=f"{name}-{hashlib.sha256(file.encode()).hexdigest()[:8]}")
+        if not state:
+            name = re.sub(r"[^A-Za-z0-9_-]", "-", file.rpartition("/")[2].split(".")[0])
+            state.update(part=0, seq=0, offset=0, name=f"{name}-{hashlib.sha256(file.encode()).hexdigest()[:8]}")
+        state.update(file=file, stream=RecordStream())
 
     def add(record: bytes) -> None:
         nonlocal size

@@ -109,6 +109,19 @@ def test_long_streams_go_on_in_further_archives(spark, tmp_path, monkeypatch):
     assert len(set(out.column("archive").to_pylist())) == 3
 
 
+def test_short_streams_of_a_task_share_archives(spark, tmp_path):
+    import pyarrow as pa
+    record = b"WARC/1.1\r\nWARC-Record-ID: <%d>\r\nContent-Length: 1"
+    pieces = [p for i in range(30) for p in (record % i, b"x")]
+    files = [f"s3://b/{i // 6}.warc.gz" for i in range(60)]  # ten streams of three records
+    batch = pa.RecordBatch.from_arrays([pa.array(pieces), pa.array(files)], names=["piece", "file"])
+    out = pa.Table.from_batches(warc._members(iter([batch.slice(0, 25), batch.slice(25)]))).to_pylist()
+    assert [x["record_id"] for x in out] == [f"<{i}>" for i in range(30)]
+    assert {x["archive"] for x in out} == {out[0]["archive"]} and [x["seq"] for x in out] == list(range(30))
+    ends = [x["offset"] + x["length"] + len(warc.REST) for x in out]
+    assert [x["offset"] for x in out] == [0, *ends[:-1]]
+
+
 def test_what_is_no_record_is_kept_as_malformed(spark, tmp_path):
     good = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <a>\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n"
     (tmp_path / "in").mkdir()
