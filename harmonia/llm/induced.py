@@ -6,7 +6,11 @@ they came.  The queues keep a bounded number of tuples in memory and write
 the rest to files of the task's own temporary folder.  All strings of a
 batch advance together, symbol by symbol, so every step is one array
 operation whatever the number of strings; the symbols of large batches lie
-in a mapped file.
+in a mapped file.  Only strings whose S* substrings repeat are reduced and
+sorted again; the recursion ends where no names repeat, or, as in external
+induced sorting generally, in a reduced text that memory holds easily (at most
+``DIRECT`` symbols): prefix doubling sorts it, as its alphabet is so large that
+a queue's steps would move a handful of suffixes each.
 """
 
 from __future__ import annotations
@@ -21,6 +25,8 @@ import numpy as np
 #: Suffix tuples that a queue keeps in memory, and symbols kept outside a mapped file.
 QUEUE_ROWS = 4_000_000
 MAPPED_ROWS = 32_000_000
+#: Symbols of a reduced text up to which it is sorted by prefix doubling.
+DIRECT = 1 << 20
 
 
 class Scratch:
@@ -137,21 +143,25 @@ def _induce(text: np.ndarray, small: np.ndarray, starts: np.ndarray, low: np.nda
     cuts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))).tolist() + [len(low)]
     seeds = {int(keys[a]): low[a:b] for a, b in zip(cuts, cuts[1:])}
     queue, larger = BucketQueue(scratch, seeds), {}
+    # suffixes whose predecessor in the string is L, is S
+    after_small = np.zeros(len(text), bool)
+    after_small[1:] = small[:-1]
+    after_large = ~after_small & ~starts
+    after_small &= ~starts
 
-    def before(found: np.ndarray, want_small: bool) -> np.ndarray:
-        prev = found[~starts[found]] - 1
-        return prev[small[prev] == want_small]
+    def before(found: np.ndarray, among: np.ndarray) -> np.ndarray:
+        return found[among[found]] - 1
 
     while (c := queue.next()) is not None:  # L suffixes, symbols rising
         got = []
         while (found := queue.pop(c)) is not None:
             got.append(found)
-            prev = before(found, False)
+            prev = before(found, after_large)
             queue.push(text[prev], prev)
         if got:
             larger[c] = np.concatenate(got)
         if c in seeds:
-            prev = before(seeds[c], False)
+            prev = before(seeds[c], after_large)
             queue.push(text[prev], prev)
     queue.close()
     queue, smaller = BucketQueue(scratch, larger, -1), {}
@@ -159,12 +169,12 @@ def _induce(text: np.ndarray, small: np.ndarray, starts: np.ndarray, low: np.nda
         got = []
         while (found := queue.pop(c)) is not None:
             got.append(found)
-            prev = before(found, True)
+            prev = before(found, after_small)
             queue.push(text[prev], prev)
         if got:
             smaller[c] = np.concatenate(got)[::-1]
         if c in larger:
-            prev = before(larger[c][::-1], True)
+            prev = before(larger[c][::-1], after_small)
             queue.push(text[prev], prev)
     queue.close()
     # the ends of the strings are S* and never induced
@@ -174,6 +184,31 @@ def _induce(text: np.ndarray, small: np.ndarray, starts: np.ndarray, low: np.nda
     return np.concatenate(parts)
 
 
+def _by_string(group: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """The positions string by string, in their order inside each."""
+    own = group[order]
+    return order[np.argsort(own.astype(np.uint16) if group[-1] < 1 << 16 else own, kind="stable")]
+
+
+def _doubled(text: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """As ``suffix_order``, by ranks of prefixes that double in length."""
+    key = group.astype(np.int64) * (int(text.max()) + 1) + text
+    order = np.argsort(key, kind="stable")
+    key, rank, slots, size = key[order], np.empty(len(text), np.int64), np.arange(len(text)), 1
+    while True:
+        # equal prefixes have the rank of the first of them
+        new = np.concatenate(([True], key[1:] != key[:-1]))
+        rank[order[slots]] = slots[np.maximum.accumulate(np.where(new, np.arange(len(slots)), 0))]
+        slots = slots[~(new & np.concatenate((new[1:], [True])))]
+        if not len(slots):
+            return order
+        # an end is alone in its string, so equal prefixes go on inside theirs
+        found = order[slots]
+        key = rank[found] * len(text) + rank[found + size]
+        by = np.argsort(key, kind="stable")
+        order[slots], key, size = found[by], key[by], 2 * size
+
+
 def suffix_order(text: np.ndarray, group: np.ndarray, scratch: Scratch) -> np.ndarray:
     """Positions sorted by (string, suffix).
 
@@ -193,28 +228,27 @@ def suffix_order(text: np.ndarray, group: np.ndarray, scratch: Scratch) -> np.nd
         order = _induce(text, small, starts, low, scratch)
         is_low = np.zeros(n, bool)
         is_low[low] = True
-        by = order[is_low[order]]
-        by = by[np.argsort(group[by], kind="stable")]  # S* substrings in order, string by string
-        names = _names(text, group, low, by)
-        index = np.empty(n, np.int64)
-        index[low] = np.arange(len(low))
-        unique = np.bincount(group[low], minlength=group[-1] + 1).max() == 0 or _all_unique(names, group[low])
-        if unique:
-            ranked = by
-        else:
+        by = _by_string(group, order[is_low[order]])  # S* substrings in order, string by string
+        names, again = _names(text, group, low, by)
+        ranked = by
+        if again.any():
             owner = group[low]
+            held = again[owner]
+            low, names, owner = low[held], names[held], owner[held]
             dense = np.cumsum(np.concatenate(([0], owner[1:] != owner[:-1])))
-            ranked = low[suffix_order(names, dense, scratch)]
+            inner = _doubled(names, dense) if len(low) <= DIRECT else suffix_order(names, dense, scratch)
+            ranked[again[group[by]]] = low[inner]
         order = _induce(text, small, starts, ranked, scratch)
     else:
         order = np.empty(0, np.int64)
     if len(alone):
         order = np.concatenate([alone, order])
-    return order[np.argsort(group[order], kind="stable")]
+    return _by_string(group, order)
 
 
-def _names(text: np.ndarray, group: np.ndarray, low: np.ndarray, by: np.ndarray) -> np.ndarray:
-    """Rank of every S* substring within its string, in text order; a string's end gets 0."""
+def _names(text: np.ndarray, group: np.ndarray, low: np.ndarray, by: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rank of every S* substring within its string, in text order (a string's end gets 0), and which
+    strings have two of one rank."""
     n = len(text)
     power = np.uint64(0x9E3779B97F4A7C15)
     # sums of symbols times powers: equal substrings have equal differences after scaling
@@ -241,8 +275,6 @@ def _names(text: np.ndarray, group: np.ndarray, low: np.ndarray, by: np.ndarray)
     rank -= np.repeat(rank[first], np.diff(np.concatenate((np.flatnonzero(first), [len(by)]))))
     names = np.empty(len(low), np.int64)
     names[where] = rank
-    return names
-
-
-def _all_unique(names: np.ndarray, owner: np.ndarray) -> bool:
-    return len(np.unique(owner * (int(names.max()) + 1) + names)) == len(names)
+    again = np.zeros(int(group[-1]) + 1, bool)
+    again[own[~new]] = True
+    return names, again

@@ -34,11 +34,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harmonia.llm.common import keyed_runs, sql_type
+from harmonia.llm.common import sql_type
 from harmonia.llm.induced import Scratch, suffix_order
 
 LENGTH = 100
@@ -47,6 +48,8 @@ GRAM = 24
 MAX_WINDOWS = 256
 #: Segments that a task collects before it collapses equal ones.
 COLLAPSE_ROWS = 600_000
+#: Bytes of segments handed on together.
+FLUSH_BYTES = 4 << 20
 #: Symbols sorted together.
 BATCH_SYMBOLS = 1_500_000
 #: Bytes of different segments above which a key is split by window fingerprints.
@@ -186,6 +189,56 @@ def _firsts(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], length: int)
         yield _ranges_of(d[order], p[order], length)
 
 
+def _to_sort(held: list[tuple]) -> pa.RecordBatch:
+    h, d, p, n, text = zip(*held)
+    return _shard_rows(*(np.concatenate(c) for c in (h, d, p, n)), [x for t in text for x in t])
+
+
+def _to_cut(held: list[tuple]) -> pa.RecordBatch:
+    d, a, b = zip(*held)
+    cuts = pa.StructArray.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+    ends = np.cumsum([0, *map(len, a)]).astype(np.int32)
+    return _shard_rows(d, d, np.zeros(len(d), np.int64), cuts=pa.ListArray.from_arrays(ends, cuts))
+
+
+def cut_texts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Documents with their marked segments, ``d, text, .., segs``, to shard rows; rows of many documents go on together."""
+    held, windows = [], 0
+    for batch in batches:
+        segs = batch.column(batch.num_columns - 1)
+        h, p, n, kind = (segs.values.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+        to_sort, sort_bytes, to_cut = [], 0, []
+        bounds = segs.offsets.to_pylist()
+        for d, t, x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), bounds, bounds[1:]):
+            raw = t.encode() if t else b""
+            own = kind[x:y]
+            at = x + np.flatnonzero(own == SORT)
+            if len(at):
+                text = [raw[u:u + k + length - 1] for u, k in zip(p[at].tolist(), n[at].tolist())]
+                to_sort.append((h[at], np.full(len(at), d, np.int64), p[at], n[at], text))
+                sort_bytes += sum(map(len, text))
+                if sort_bytes > FLUSH_BYTES:
+                    yield _to_sort(to_sort)
+                    to_sort, sort_bytes = [], 0
+            at = x + np.flatnonzero(own == COPY)
+            if len(at):
+                to_cut.append((d, *merge_ranges(p[at], p[at] + n[at] + length - 1, len(raw))))
+            at = x + np.flatnonzero(own == SPLIT)
+            if len(at):
+                place, prints = _split_windows(raw, p[at], n[at].astype(np.int64), length)
+                held.append((np.full(len(place), d, np.int64), place, prints))
+                windows += len(place)
+                if windows >= COLLAPSE_ROWS:
+                    yield from _firsts(held, length)
+                    held, windows = [], 0
+        if to_sort:
+            yield _to_sort(to_sort)
+        if to_cut:
+            yield _to_cut(to_cut)
+    if held:
+        yield from _firsts(held, length)
+
+
 def _texts(docs: DataFrame, marked: DataFrame, length: int) -> DataFrame:
     """What goes to the shards, ``h, d, p, n, text, cuts, g``.
 
@@ -197,36 +250,10 @@ def _texts(docs: DataFrame, marked: DataFrame, length: int) -> DataFrame:
     """
     lists = marked.groupBy("d").agg(F.collect_list(F.struct("h", "p", "n", "kind")).alias("segs"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, windows = [], 0
-        for batch in batches:
-            for d, t, segs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                  batch.column(batch.num_columns - 1)):
-                raw = t.encode() if t else b""
-                h, p, n, kind = (segs.values.field(i).to_numpy(zero_copy_only=False) for i in range(4))
-                at = np.flatnonzero(kind == SORT)
-                if len(at):
-                    text = [raw[x:x + k + length - 1] for x, k in zip(p[at].tolist(), n[at].tolist())]
-                    yield _shard_rows(h[at], np.full(len(at), d, np.int64), p[at], n[at], text)
-                at = np.flatnonzero(kind == COPY)
-                if len(at):
-                    a, b = merge_ranges(p[at], p[at] + n[at] + length - 1, len(raw))
-                    cuts = pa.StructArray.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-                    yield _shard_rows([d], [d], [0], cuts=pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), cuts))
-                at = np.flatnonzero(kind == SPLIT)
-                if len(at):
-                    place, prints = _split_windows(raw, p[at], n[at].astype(np.int64), length)
-                    held.append((np.full(len(place), d, np.int64), place, prints))
-                    windows += len(place)
-                    if windows >= COLLAPSE_ROWS:
-                        yield from _firsts(held, length)
-                        held, windows = [], 0
-        if held:
-            yield from _firsts(held, length)
-
     # no column is pruned here, so that the last join can read the same exchange of the documents
     return docs.join(lists, "d").mapInArrow(
-        run, "h bigint, d bigint, p bigint, n int, text binary, cuts array<struct<a:bigint,b:bigint>>, g bigint")
+        lambda batches: cut_texts(batches, length),
+        "h bigint, d bigint, p bigint, n int, text binary, cuts array<struct<a:bigint,b:bigint>>, g bigint")
 
 
 def later_windows(text: list[bytes], count: np.ndarray, group: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -259,11 +286,13 @@ def later_windows(text: list[bytes], count: np.ndarray, group: np.ndarray, lengt
     sums = np.concatenate((np.zeros(1, np.uint64), np.add.accumulate(mixed * pw[:-1])))
     print_ = (sums[order + length] - sums[order]) * pw[len(mixed) - order - length]
     same = np.flatnonzero((print_[1:] == print_[:-1]) & (string[seg[1:]] == string[seg[:-1]]))
-    for a in range(0, len(same), 100_000):
-        rows = same[a:a + 100_000]
-        span = np.arange(length)
-        equal = (symbols[order[rows][:, None] + span] == symbols[order[rows + 1][:, None] + span]).all(1)
-        same[a:a + 100_000][~equal] = -1
+    if len(same):
+        at = np.cumsum(sizes)[seg] - sizes[seg] + place
+        window = np.lib.stride_tricks.sliding_window_view(raw, length)
+        for a in range(0, len(same), 100_000):
+            rows = same[a:a + 100_000]
+            equal = (window[at[rows]] == window[at[rows + 1]]).all(1)
+            same[a:a + 100_000][~equal] = -1
     new = np.ones(len(order), bool)
     new[same[same >= 0] + 1] = False
     rank = seg * MAX_WINDOWS + place
@@ -273,11 +302,10 @@ def later_windows(text: list[bytes], count: np.ndarray, group: np.ndarray, lengt
     return gone // MAX_WINDOWS, gone % MAX_WINDOWS
 
 
-def _sorted(segs: DataFrame, length: int) -> DataFrame:
+def sort_shards(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Byte ranges ``d, a, b`` under windows that are equal to earlier ones, from segments with texts
-    and from the windows of split keys."""
-    def work(held: list[pa.Table]) -> pa.RecordBatch | None:
-        t = pa.concat_tables(held)
+    and from the windows of split keys, in order of ``h, g, d, p``."""
+    def work(t: pa.Table) -> pa.RecordBatch | None:
         h, d, p, n = (t.column(c).to_numpy() for c in "hdpn")
         seg, place = later_windows(t.column("text").to_pylist(), n.astype(np.int64), h, length)
         if not len(seg):
@@ -291,8 +319,8 @@ def _sorted(segs: DataFrame, length: int) -> DataFrame:
         """Segments go on to be sorted, ready ranges and later windows of split keys to ``ready``."""
         last = None
         for batch in batches:
-            split = batch.filter(batch.column(6).is_valid())
-            if split.num_rows:
+            if batch.column(6).null_count < batch.num_rows:
+                split = batch.filter(batch.column(6).is_valid())
                 h, d, p, g = (split.column(i).to_numpy() for i in (0, 1, 2, 6))
                 later = np.concatenate(([last == (h[0], g[0])], (h[1:] == h[:-1]) & (g[1:] == g[:-1])))
                 last = h[-1], g[-1]
@@ -300,35 +328,61 @@ def _sorted(segs: DataFrame, length: int) -> DataFrame:
                     ready.append(pa.RecordBatch.from_arrays(
                         [pa.array(d[later]), pa.array(p[later]), pa.array(p[later] + length)], names=["d", "a", "b"]))
                 batch = batch.filter(batch.column(6).is_null())
-            done = batch.filter(batch.column(5).is_valid())
-            if done.num_rows:
+            if batch.column(5).null_count < batch.num_rows:
+                done = batch.filter(batch.column(5).is_valid())
                 ranges = done.column(5).flatten()
                 ready.append(pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(done.column(1).to_numpy(), done.column(5).value_lengths().to_numpy())),
                      ranges.field(0), ranges.field(1)], names=["d", "a", "b"]))
-            yield batch.filter(batch.column(5).is_null())
+                batch = batch.filter(batch.column(5).is_null())
+            yield batch
 
     ready: list[pa.RecordBatch] = []
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for _, t in keyed_runs(passed(batches), ["h"]):
-            while ready:
-                yield ready.pop()
-            own = t.column("text").nbytes
-            if held and size + own > BATCH_SYMBOLS:
-                if out := work(held):
-                    yield out
-                held, size = [], 0
-            held.append(t)
-            size += own
-        if held and (out := work(held)):
-            yield out
+    def whole(held: list[pa.RecordBatch], ended: bool) -> Iterator[pa.Table]:
+        """Runs of whole keys, of ``BATCH_SYMBOLS`` at most or of a single key; the last key waits for more rows."""
+        t = pa.Table.from_batches(held).combine_chunks()
+        h = t.column("h").to_numpy()
+        ends = np.append(np.flatnonzero(h[1:] != h[:-1]) + 1, [len(h)] if ended else []).astype(np.int64)
+        held.clear()
+        if not len(ends):
+            held.append(t.to_batches()[0])
+            return
+        size = np.cumsum(pc.binary_length(t.column("text")).to_numpy().astype(np.int64))[ends - 1]
+        a, done = 0, 0
+        while (n := int(np.searchsorted(ends, a, "right"))) < len(ends):
+            n = max(n, int(np.searchsorted(size, done + BATCH_SYMBOLS, "right")) - 1)
+            if n == len(ends) - 1 and not ended:
+                break
+            yield t.slice(a, ends[n] - a)
+            a, done = int(ends[n]), int(size[n])
+        if a < len(h):
+            held.extend(t.slice(a).to_batches())
+
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in passed(batches):
         while ready:
             yield ready.pop()
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.column(4).nbytes
+            if size > BATCH_SYMBOLS:
+                for t in whole(held, False):
+                    if out := work(t):
+                        yield out
+                size = sum(x.column(4).nbytes for x in held)
+    if held:
+        for t in whole(held, True):
+            if out := work(t):
+                yield out
+    while ready:
+        yield ready.pop()
 
+
+def _sorted(segs: DataFrame, length: int) -> DataFrame:
     return (segs.repartition("h").sortWithinPartitions("h", "g", "d", "p")
-            .mapInArrow(run, "d bigint, a bigint, b bigint"))
+            .mapInArrow(lambda batches: sort_shards(batches, length), "d bigint, a bigint, b bigint"))
 
 
 def shards(docs: DataFrame, length: int = LENGTH) -> DataFrame:

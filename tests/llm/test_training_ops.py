@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -365,6 +366,68 @@ def test_induced_sorting_with_spilled_queues(monkeypatch):
             assert got == want
 
 
+def test_reduced_strings_are_sorted_again_only_where_names_repeat(monkeypatch):
+    rng = random.Random(4)
+    sizes, induce = [], induced._induce
+    monkeypatch.setattr(induced, "_induce", lambda text, *rest: sizes.append(len(text)) or induce(text, *rest))
+    passage = [rng.randint(1, 9) for _ in range(400)]
+    strings = [passage * 3] + [[rng.randint(1, 10**6) for _ in range(300)] for _ in range(20)]
+    text = np.array([x for s in strings for x in [*s, 0]], np.int64)
+    group = np.repeat(np.arange(len(strings)), [len(s) + 1 for s in strings])
+    want, at = [], 0
+    for s in strings:
+        s = [*s, 0]
+        want += [at + i for i in sorted(range(len(s)), key=lambda i: s[i:])]
+        at += len(s)
+    steps = {}
+    for direct in (0, 20, 10**6):  # recursion to the end, for a while, not at all
+        monkeypatch.setattr(induced, "DIRECT", direct)
+        sizes.clear()
+        with induced.Scratch() as scratch:
+            assert induced.suffix_order(text, group, scratch).tolist() == want
+        steps[direct] = list(sizes)
+    assert steps[10**6] == [len(text)] * 2
+    assert len(steps[0]) > 4 and steps[0][1] < len(strings[0])  # the strings without repeats are left out
+
+
+def test_shards_are_cut_at_key_bounds(monkeypatch):
+    monkeypatch.setattr(suffix, "BATCH_SYMBOLS", 900)
+    rng, calls, find = random.Random(5), [], suffix.later_windows
+    monkeypatch.setattr(suffix, "later_windows", lambda text, n, h, length: calls.append(h.tolist()) or find(text, n, h, length))
+    rows_, want = [], set()
+    for key in range(40):
+        body = bytes(rng.choices(range(65, 91), k=120))
+        for d in range(rng.choice([1, 2, 3, 9])):
+            rows_.append((key, d, key, 21, body, None, None))
+            if d:
+                want.add((d, key, key + 120))
+    got = set()
+    for step in (1, 7, 50, 1000):
+        calls.clear()
+        cols = [pa.array(c, k) for c, k in zip(zip(*rows_), suffix.SHARD_TYPES)]
+        batch = pa.RecordBatch.from_arrays(cols, names=suffix.SHARD_NAMES)
+        out = list(suffix.sort_shards(iter([batch.slice(a, step) for a in range(0, len(rows_), step)]), 100))
+        got = [tuple(r.values()) for b in out for r in b.to_pylist()]
+        assert len(got) == len(want) and set(got) == want
+        assert sum(len(set(c)) for c in calls) == 40  # no key is in two calls
+        assert all(len(set(c)) == 1 or 120 * len(c) <= 900 for c in calls) and len(calls) < 30
+
+
+def test_rows_of_many_documents_go_on_together(spark, monkeypatch):
+    footer = words(40, 77)
+    texts = [words(20, 300 + i) + " " + footer + " " + words(20, 600 + i) for i in range(60)]
+    sent = []
+    make = suffix._shard_rows
+    docs = pa.RecordBatch.from_arrays([pa.array(range(60)), pa.array(texts), pa.array(
+        [[{"h": i, "p": 0, "n": 20, "kind": suffix.SORT}, {"h": 0, "p": 50, "n": 20, "kind": suffix.COPY}] for i in range(60)],
+        pa.list_(pa.struct([("h", pa.int64()), ("p", pa.int64()), ("n", pa.int32()), ("kind", pa.int32())])))], names=["d", "text", "segs"])
+    monkeypatch.setattr(suffix, "_shard_rows", lambda *a, **k: sent.append(len(a[0])) or make(*a, **k))
+    out = pa.Table.from_batches(suffix.cut_texts(iter([docs]), 100)).to_pylist()
+    assert sent == [60, 60]
+    assert [x["text"] for x in out[:60]] == [t.encode()[:119] for t in texts]
+    assert [(x["d"], x["cuts"]) for x in out[60:]] == [(i, [{"a": 50, "b": 169}]) for i in range(60)]
+
+
 # 8 -----------------------------------------------------------------------------------------
 
 def test_layout_rendering(spark):
