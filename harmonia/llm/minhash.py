@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from harmonia.llm.common import connected_components, cut, in_block_pairs, keyed_runs, sql_type
@@ -143,8 +143,8 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 def families(reps: DataFrame) -> DataFrame:
     """``rep, family``: representatives that share band keys, directly or through others."""
     keys = reps.select("rep", F.explode("bands").alias("key"))
-    low = keys.groupBy("key").agg(F.min("rep").alias("m"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    edges = cut(keys.join(low, "key").filter("rep > m").select("rep", "m").distinct())
+    first = F.first("rep").over(Window.partitionBy("key").orderBy("rep"))  # the keys move once
+    edges = keys.select("rep", first.alias("m")).filter("rep > m")
     found = connected_components(edges, "rep", "m").select(F.col("node").alias("rep"), F.col("component").alias("family"))
     return found.unionByName(found.select(F.col("family").alias("rep"), "family").distinct())
 
@@ -227,7 +227,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         F.min(F.struct(F.col("doc_id").alias("rep"), "n_shingles", "bands", "sig")).alias("x")).select("digest", "x.*")
     reps = cut(reps)
     members = families(reps).join(reps.select("rep", "n_shingles", "sig"), "rep")
-    links = cut(confirmed_links(members, docs, doc_id, text))
+    links = confirmed_links(members, docs, doc_id, text)
     groups = connected_components(links, "a", "b").select(F.col("node").alias("rep"), "component")
     owner = reps.select("digest", "rep").join(groups, "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component"))

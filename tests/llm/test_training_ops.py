@@ -13,7 +13,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from harmonia.llm import (bpe_rank, chat, embed_dedup, html_layout, induced, langid, lines, minhash, packing, quality,
+from harmonia.llm import (bpe_rank, chat, common, embed_dedup, html_layout, induced, langid, lines, minhash, packing, quality,
                           suffix)
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -173,6 +173,51 @@ def test_near_duplicates_against_brute_force(spark, awkward, docs, empty, monkey
         == [(False, 0, True)] * 2
 
 
+def stages_of(spark, group, work):
+    """What ``work`` returns, and the number of stages that its jobs name."""
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        out = work()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    told = sc.statusTracker()
+    return out, sum(len(told.getJobInfo(j).stageIds) for j in told.getJobIdsForGroup(group))
+
+
+def test_components_of_chains_stars_and_random_links(spark):
+    rng = random.Random(11)
+    links = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 160)] + [(260, i) for i in range(200, 260)]
+    links += [(rng.randrange(300, 500), rng.randrange(300, 500)) for _ in range(120)]
+    links += links[::7] + [(b, a) for a, b in links[::5]]
+    label = {x: x for pair in links for x in pair}
+    for _ in label:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    links += [(5, 5), (7, None), (None, 9), (None, None)]
+    df = spark.createDataFrame(links, "a long, b long")
+    got = [(r.node, r.component) for r in common.connected_components(df, "a", "b").collect()]
+    assert sorted(got) == sorted((x, c) for x, c in label.items() if x != c)
+    assert not common.connected_components(df.limit(0), "a", "b").count()
+
+
+def test_components_take_few_exchanges(spark):
+    star = spark.createDataFrame([(0, i) for i in range(1, 100)], "a long, b long")
+    got, few = stages_of(spark, "star", lambda: common.connected_components(star, "a", "b"))
+    chain = spark.createDataFrame([(i, i + 1) for i in range(100)], "a long, b long")
+    _, many = stages_of(spark, "chain", lambda: common.connected_components(chain, "a", "b"))
+    assert got.count() == 99
+    assert few < 20 and many < 110
+
+
+def test_band_keys_move_once(spark):
+    texts = [words(60, i % 20) + f" {i}" for i in range(60)]
+    reps = minhash.signatures(docs_of(spark, texts)).withColumnRenamed("doc_id", "rep").localCheckpoint()
+    got, n = stages_of(spark, "families", lambda: minhash.families(reps))
+    assert {r.rep: r.family for r in got.collect()} == {i: i % 20 for i in range(60)}
+    assert n < 40
+
+
 def test_bit_counts_estimate_similarity():
     a = minhash.shingles(words(400, 1, 10**6))
     for share in (0.2, 0.5, 0.8):
